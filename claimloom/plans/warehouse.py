@@ -98,7 +98,7 @@ class Warehouse:
 
     @_model
     def claim_cost(self):
-        claims = self.analysable.drop("dq_reject_reason", "chain")
+        claims = self.analysable.drop("dq_reject_reason", "scope_exclusion_reason", "chain")
         return economics.with_cost(claims, self.stg_price_history)
 
     @_model
