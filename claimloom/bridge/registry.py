@@ -31,7 +31,7 @@ QUERIES: dict[str, Query] = {}
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    return Warehouse(views.raw_tables(spark, sf_dir))
+    return Warehouse(views.RawTables(spark, sf_dir))
 
 
 def _over_warehouse(fn: Callable[[Warehouse], DataFrame], name: str | None = None):

@@ -6,6 +6,9 @@ pharmacies. ``oracle.py`` states the same views in SQL.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Mapping
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -146,14 +149,29 @@ def price_history(lineitem: DataFrame, part: DataFrame) -> DataFrame:
     )
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    lineitem, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
-    sites = (table(spark, sf_dir, t) for t in ("supplier", "nation", "region"))
-    return {
-        "claims": claims(lineitem),
-        "reverts": reverts(lineitem),
-        "lookups": lookups(orders),
-        "pharmacies": pharmacies(*sites),
-        "partners": partners(orders),
-        "price_history": price_history(lineitem, table(spark, sf_dir, "part")),
-    }
+class RawTables(Mapping[str, DataFrame]):
+    """The six raw tables; a test table is opened when a raw table over it is first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        def source(name: str) -> Callable[[], DataFrame]:
+            return cache(lambda: table(spark, sf_dir, name))
+
+        lineitem, orders, part = source("lineitem"), source("orders"), source("part")
+        supplier, nation, region = source("supplier"), source("nation"), source("region")
+        self._build = {
+            "claims": cache(lambda: claims(lineitem())),
+            "reverts": cache(lambda: reverts(lineitem())),
+            "lookups": cache(lambda: lookups(orders())),
+            "pharmacies": cache(lambda: pharmacies(supplier(), nation(), region())),
+            "partners": cache(lambda: partners(orders())),
+            "price_history": cache(lambda: price_history(lineitem(), part())),
+        }
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._build[name]()
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._build)
+
+    def __len__(self) -> int:
+        return len(self._build)

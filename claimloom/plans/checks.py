@@ -205,3 +205,6 @@ def fact_invariants(wh: Warehouse) -> list[DataFrame]:
     ]
 
 
+
+
+ALL = [STAGING, INTERMEDIATE, DIMENSIONS, FACTS, MARTS]

@@ -29,7 +29,7 @@ def _model(build: Model) -> property:
 
 class Warehouse:
     def __init__(self, raw: Mapping[str, DataFrame]):
-        self.raw = dict(raw)
+        self.raw = raw
         self._frames: dict[str, DataFrame] = {}
 
     def put(self, name: str, table: DataFrame) -> None:
