@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +30,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 
+EPOCH = datetime.date(1970, 1, 1)
+
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     return Warehouse(views.RawTables(spark, sf_dir))
@@ -120,7 +123,16 @@ def default_members(wh):
 
 # Models.
 
-_over_warehouse(lambda wh: wh.stg_partners, "fee_terms")
+
+def _with_lookup_count(partners: DataFrame, name: str, wh: Warehouse) -> DataFrame:
+    """The terms are few and fixed; counting the lookups of each partner makes the query read the orders."""
+    counts = wh.stg_lookups.groupBy(F.col("partner").alias(name)).agg(F.count("*").alias("lookups"))
+    joined = attach(partners, counts, name, many_is_unique=True)
+    return joined.withColumn("lookups", F.coalesce("lookups", F.lit(0).cast("bigint")))
+
+
+_over_warehouse(lambda wh: _with_lookup_count(wh.stg_partners, "partner", wh), "fee_terms")
+_over_warehouse(lambda wh: _with_lookup_count(wh.dim_partner, "partner_name", wh), "dim_partner")
 _over_warehouse(lambda wh: wh.dim_pharmacy, "dim_site")
 _over_warehouse(lambda wh: wh.stg_price_history, "price_history")
 _over_warehouse(lambda wh: wh.claims_scoped, "scope_claims")
@@ -135,7 +147,6 @@ _over_warehouse(
 )
 _over_warehouse(lambda wh: wh.fct_claim, "fact_claim")
 _over_warehouse(lambda wh: wh.fct_lookup, "fact_lookup")
-_over_warehouse(lambda wh: wh.dim_partner, "dim_partner")
 _over_warehouse(lambda wh: wh.dim_drug, "dim_item")
 _over_warehouse(lambda wh: wh.dim_date, "dim_date")
 _over_warehouse(lambda wh: wh.dq_rejects, "quarantine")
@@ -245,7 +256,7 @@ def asof_events(events):
         "ts",
         "view_ts",
         ["view_value"],
-        bucket=lambda ts: ts.cast("date"),
+        bucket=lambda ts: minutes_crossed(F.lit(EPOCH), ts),
         form="timeline",
     )
 

@@ -1,7 +1,7 @@
 """Raw text tables derived from the test data, whole tables in, faults seeded by key.
 
-``lineitem`` plays the claims, reversals and price history, ``orders`` the lookups and partners, ``supplier`` the
-pharmacies. ``oracle.py`` states the same views in SQL.
+``lineitem`` plays the claims, reversals and price history, ``orders`` the lookups, ``supplier`` the pharmacies; the
+terms of the partners, who are order priorities, are fixed. ``oracle.py`` states the same views in SQL.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimloom.operators.joins import attach
+from claimloom.sources.tables import spread
 
 # Terms of the four named order priorities; the fifth stands for "no partner".
 PARTNER_TERMS = {
@@ -33,7 +34,7 @@ PIVOT_COLUMNS = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def _every(key: str, n: int) -> Column:
@@ -112,19 +113,16 @@ def pharmacies(supplier: DataFrame, nation: DataFrame, region: DataFrame) -> Dat
     )
 
 
-def partners(orders: DataFrame) -> DataFrame:
-    """One row per named priority that occurs: at most as many rows as there are terms."""
-    name = F.col("o_orderpriority")
-    named = orders.where(name.isin(*PARTNER_TERMS)).select(name.alias("partner")).distinct()
+def partners(spark: SparkSession) -> DataFrame:
+    """The fixed terms as the four rows of a reference file."""
 
-    def term(i: int) -> Column:
-        return F.coalesce(*(F.when(F.col("partner") == p, F.lit(t[i])) for p, t in PARTNER_TERMS.items()))
+    def quoted(text: str | None) -> str:
+        return "null" if text is None else f"'{text}'"
 
-    return named.select(
-        "partner",
-        term(0).cast("string").alias("fee_cents"),
-        term(1).cast("string").alias("fee_percentage"),
-        F.lit("orders").alias("_source_file"),
+    rows = ", ".join(f"({quoted(p)}, {quoted(flat)}, {quoted(share)})" for p, (flat, share) in PARTNER_TERMS.items())
+    return spark.sql(
+        "SELECT partner, CAST(fee_cents AS string) AS fee_cents, CAST(fee_percentage AS string) AS fee_percentage, "
+        f"'terms' AS _source_file FROM VALUES {rows} AS t(partner, fee_cents, fee_percentage)"
     )
 
 
@@ -163,7 +161,7 @@ class RawTables(Mapping[str, DataFrame]):
             "reverts": cache(lambda: reverts(lineitem())),
             "lookups": cache(lambda: lookups(orders())),
             "pharmacies": cache(lambda: pharmacies(supplier(), nation(), region())),
-            "partners": cache(lambda: partners(orders())),
+            "partners": cache(lambda: partners(spark)),
             "price_history": cache(lambda: price_history(lineitem(), part())),
         }
 

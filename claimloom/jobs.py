@@ -23,7 +23,7 @@ from claimloom.sources import landing, tables
 MONTHLY_FROM_BYTES = 1024**3
 """Facts are partitioned by month when the raw claims are at least this large."""
 
-CONCURRENT_JOBS = 4
+CONCURRENT_JOBS = 6
 """Independent tables of a layer are written side by side, so small ones fill the gaps the large ones leave."""
 
 INTERMEDIATE_VIEWS = [
@@ -44,15 +44,20 @@ class CheckFailed(Exception):
         super().__init__(f"checks failed after {stage}: {listed}")
 
 
+@dataclass(frozen=True)
+class Table:
+    name: str
+    layer: str
+    month_of: str | None = None
+
+
 @dataclass(frozen=True)
 class Stage:
-    """Tables written together, then the checks that must pass before the next stage starts."""
+    """Tables written side by side, then the checks that must pass before the next stage starts."""
 
     name: str
-    layer: str
-    tables: list[str]
+    tables: list[Table]
     gate: Callable[[Warehouse], list[DataFrame]]
-    month_of: Mapping[str, str]
 
 
 def _gate(declared: dict[str, checks.TableChecks], *more: Callable[[Warehouse], list[DataFrame]]):
@@ -66,37 +71,45 @@ def _only(declared: dict[str, checks.TableChecks], *names: str) -> dict[str, che
 STAGES = [
     Stage(
         "staging",
-        "staging",
-        ["stg_pharmacies", "stg_partners", "stg_price_history", "stg_reverts", "stg_lookups"],
-        _gate({n: c for n, c in checks.STAGING.items() if n != "stg_claims"}),
-        {},
+        [
+            Table("claims_judged", "intermediate"),
+            Table("stg_price_history", "staging"),
+            Table("stg_lookups", "staging"),
+            Table("stg_reverts", "staging"),
+            Table("stg_pharmacies", "staging"),
+            Table("stg_partners", "staging"),
+        ],
+        _gate(checks.STAGING | _only(checks.INTERMEDIATE, "claims_scoped")),
     ),
-    Stage("claims", "intermediate", ["claims_judged"], _gate(_only(checks.INTERMEDIATE, "claims_scoped")), {}),
-    Stage("reverts", "intermediate", ["reverts_judged"], _gate(_only(checks.INTERMEDIATE, "reverts_scoped")), {}),
     Stage(
-        "dimensions and claim fact",
-        "marts",
-        ["fct_claim", "dim_drug", "dim_date", "dim_partner", "dim_pharmacy"],
-        _gate(checks.DIMENSIONS | _only(checks.FACTS, "fct_claim")),
-        {"fct_claim": "filled_date"},
+        "claims",
+        [
+            Table("fct_claim", "marts", month_of="filled_date"),
+            Table("reverts_judged", "intermediate"),
+            Table("dim_drug", "marts"),
+            Table("dim_date", "marts"),
+            Table("dim_partner", "marts"),
+            Table("dim_pharmacy", "marts"),
+        ],
+        _gate(
+            _only(checks.INTERMEDIATE, "reverts_scoped") | checks.DIMENSIONS | _only(checks.FACTS, "fct_claim")
+        ),
     ),
     Stage(
-        "lookup fact and quarantine",
-        "marts",
-        ["fct_lookup", "dq_rejects"],
+        "lookups and quarantine",
+        [Table("fct_lookup", "marts", month_of="lookup_date"), Table("dq_rejects", "marts")],
         _gate(_only(checks.FACTS, "fct_lookup", "dq_rejects"), checks.fact_invariants),
-        {"fct_lookup": "lookup_date"},
     ),
     Stage(
         "marts",
-        "marts",
-        ["mart_partner_performance", "mart_drug_economics", "mart_funnel_daily"],
+        [
+            Table("mart_drug_economics", "marts"),
+            Table("mart_partner_performance", "marts"),
+            Table("mart_funnel_daily", "marts"),
+        ],
         _gate(checks.MARTS),
-        {},
     ),
 ]
-LAYER_OF = {t: s.layer for s in STAGES for t in s.tables}
-
 # Written tables that carry everything another model has: reading them replaces building that model.
 STANDS_FOR = {"fct_claim": ["claim_outcome"]}
 
@@ -117,7 +130,7 @@ def land_tables(raw: Mapping[str, DataFrame], root: str) -> dict[str, int]:
         [lambda n=n, df=df: tables.write_counted(df, root, "raw", n) for n, df in zip(names, frames)]
     )
     for name, df in zip(names, frames):
-        tables.register(df.sparkSession, root, "raw", name)
+        tables.register(df, root, "raw", name)
     return dict(zip(names, counts))
 
 
@@ -142,17 +155,18 @@ def build(
     ``select``: only these tables, layers or stages; other tables are read from ``reuse``, an earlier root, when it is
     given, else built as part of what needs them. ``allow``: checks that may fail without stopping the build.
     """
-    wh = Warehouse({name: tables.open_table(spark, root, "raw", name) for name in RAW})
+    opened = _together([lambda n=n: tables.open_table(spark, root, "raw", n) for n in RAW])
+    wh = Warehouse(dict(zip(RAW, opened)))
     size = input_bytes(wh.raw["claims"])
     monthly = size is None or size >= MONTHLY_FROM_BYTES
     for stage in STAGES:
-        chosen = [t for t in stage.tables if select is None or {t, stage.layer, stage.name} & set(select)]
+        chosen = [t for t in stage.tables if select is None or {t.name, t.layer, stage.name} & set(select)]
         for t in stage.tables:
             if t not in chosen and reuse is not None:
-                _put(wh, t, tables.open_table(spark, reuse, stage.layer, t))
+                _put(wh, t.name, tables.open_table(spark, reuse, t.layer, t.name))
         if not chosen:
             continue
-        _write(spark, wh, stage, chosen, root, monthly)
+        _write(wh, chosen, root, monthly)
         if run_checks:
             failed = {c: n for c, n in violations(_chosen_checks(stage, wh, chosen)).items() if c not in allow}
             if failed:
@@ -165,25 +179,21 @@ def build(
 RAW = [*landing.EVENT_FIELDS, "pharmacies", "partners", "price_history"]
 
 
-def _chosen_checks(stage: Stage, wh: Warehouse, chosen: list[str]) -> list[DataFrame]:
+def _chosen_checks(stage: Stage, wh: Warehouse, chosen: list[Table]) -> list[DataFrame]:
     """All checks of a stage; a partly selected stage is checked on its own tables only."""
-    if set(chosen) == set(stage.tables):
+    if chosen == stage.tables:
         return stage.gate(wh)
-    declared = {t: c for group in checks.ALL for t, c in group.items() if t in chosen}
-    return checks.table_checks(wh, declared)
+    names = {t.name for t in chosen}
+    return checks.table_checks(wh, {t: c for group in checks.ALL for t, c in group.items() if t in names})
 
 
-def _write(
-    spark: SparkSession, wh: Warehouse, stage: Stage, chosen: list[str], root: str, monthly: bool
-) -> None:
+def _write(wh: Warehouse, chosen: list[Table], root: str, monthly: bool) -> None:
     # Plans first, in one thread; only the writing runs side by side.
-    plans = [(t, getattr(wh, t), stage.month_of.get(t) if monthly else None) for t in chosen]
-    written = _together(
-        [lambda p=p: tables.write_table(p[1], root, stage.layer, p[0], month_of=p[2]) for p in plans]
-    )
-    for (name, _, month), table in zip(plans, written):
-        tables.register(spark, root, stage.layer, name, partitioned=month is not None)
-        _put(wh, name, table.drop("event_month"))
+    plans = [(t, getattr(wh, t.name), t.month_of if monthly else None) for t in chosen]
+    written = _together([lambda p=p: tables.write_table(p[1], root, p[0].layer, p[0].name, p[2]) for p in plans])
+    for (t, _, month), table in zip(plans, written):
+        tables.register(table, root, t.layer, t.name, partitioned=month is not None)
+        _put(wh, t.name, table.drop("event_month"))
 
 
 def _put(wh: Warehouse, name: str, table: DataFrame) -> None:
