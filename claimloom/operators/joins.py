@@ -50,9 +50,11 @@ def frequent_keys(df: DataFrame, key_hash: Column) -> DataFrame:
         .where(F.col("__h").isNotNull())
         .groupBy("__g")
         .agg(F.expr(f"approx_top_k_accumulate(__h, {SKETCH_ITEMS})").alias("s"), F.count("*").alias("n"))
+        # Grouped by a constant: the merge of sketches does not take the empty buffer a global aggregate starts with.
+        .groupBy(F.lit("all"))
         .agg(F.expr(f"approx_top_k_combine(s, {SKETCH_ITEMS})").alias("s"), F.sum("n").alias("n"))
     )
-    top = sketches.where("n > 0").select(F.explode(F.expr(f"approx_top_k_estimate(s, {SLICES})")).alias("t"), "n")
+    top = sketches.select(F.explode(F.expr(f"approx_top_k_estimate(s, {SLICES})")).alias("t"), "n")
     share = F.col("t.count") * F.lit(SLICES) / F.col("n")
     return top.where(share > 1).select(
         F.col("t.item").alias("__h"), F.least(F.ceil(share).cast("int"), F.lit(SLICES)).alias("__slices")
