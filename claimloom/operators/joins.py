@@ -4,14 +4,17 @@
 declares depends on one check, the size of the files the unique side is read from:
 
 * small: broadcast the unique side, ``many`` is not shuffled at all;
-* otherwise: shuffle join, with the rows of frequent keys spread over several slices. The frequent keys come from a
-  bounded frequent-items sketch over the key hashes; the unique side is repeated once per slice for those keys only.
+* otherwise: shuffle join. A first pass over the key columns looks for frequent keys with a bounded frequent-items
+  sketch. If there are any, or many rows without a key, those rows are spread over several slices and the unique side
+  is repeated once per slice, for those keys only.
 
-The sketch steers where rows go, never which rows are kept, so both plans return the same rows.
+The sketch steers where rows go, never which rows are kept. Its short result is fixed before the join is declared, so
+that both sides of the join use the same slices; a sketch evaluated once per side could differ between the two.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -43,22 +46,28 @@ def is_small(df: DataFrame, limit: int | None = None) -> bool:
     return size is not None and size <= (BROADCAST_BYTES if limit is None else limit)
 
 
-def frequent_keys(df: DataFrame, key_hash: Column) -> DataFrame:
-    """(hash, slices) of the keys with more than 1/SLICES of the rows: at most SLICES rows by construction."""
-    sketches = (
-        df.select(key_hash.alias("__h"), F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("__g"))
-        .where(F.col("__h").isNotNull())
-        .groupBy("__g")
-        .agg(F.expr(f"approx_top_k_accumulate(__h, {SKETCH_ITEMS})").alias("s"), F.count("*").alias("n"))
-        # Grouped by a constant: the merge of sketches does not take the empty buffer a global aggregate starts with.
-        .groupBy(F.lit("all"))
-        .agg(F.expr(f"approx_top_k_combine(s, {SKETCH_ITEMS})").alias("s"), F.sum("n").alias("n"))
+def frequent_keys(df: DataFrame, key_hash: Column) -> tuple[dict[int, int], bool]:
+    """The slices of each key with more than 1/SLICES of the rows, and whether so many rows have no key.
+
+    Runs a job over the key columns. At most SLICES keys can have such a share, so the result is short.
+    """
+    hashed = df.select(key_hash.alias("__h"), F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("__g"))
+    sketch = F.expr(f"approx_top_k_accumulate(__h, {SKETCH_ITEMS}) FILTER (WHERE __h IS NOT NULL)")
+    per_group = hashed.groupBy("__g").agg(
+        sketch.alias("s"), F.count("*").alias("n"), F.count_if(F.col("__h").isNull()).alias("without")
     )
-    top = sketches.select(F.explode(F.expr(f"approx_top_k_estimate(s, {SLICES})")).alias("t"), "n")
-    share = F.col("t.count") * F.lit(SLICES) / F.col("n")
-    return top.where(share > 1).select(
-        F.col("t.item").alias("__h"), F.least(F.ceil(share).cast("int"), F.lit(SLICES)).alias("__slices")
+    # Grouped by a constant: the merge of sketches does not take the empty buffer a global aggregate starts with.
+    merged = per_group.groupBy(F.lit("all")).agg(
+        F.expr(f"approx_top_k_combine(s, {SKETCH_ITEMS})").alias("s"),
+        F.sum("n").alias("n"),
+        F.sum("without").alias("without"),
     )
+    rows = merged.select(F.expr(f"approx_top_k_estimate(s, {SLICES})").alias("top"), "n", "without").collect()
+    if not rows:
+        return {}, False
+    top, n, without = rows[0]
+    slices = {t["item"]: math.ceil(t["count"] * SLICES / n) for t in top if t["count"] * SLICES > n}
+    return slices, without * SLICES > n
 
 
 def attach(
@@ -68,33 +77,40 @@ def attach(
     how: str = "left",
     *,
     many_is_unique: bool = False,
+    keys_in: DataFrame | None = None,
     broadcast_limit: int | None = None,
 ) -> DataFrame:
-    """Join ``one`` (unique per ``on``) to ``many``. ``how``: left, inner, left_semi or left_anti."""
+    """Join ``one`` (unique per ``on``) to ``many``. ``how``: left, inner, left_semi or left_anti.
+
+    ``many_is_unique``: both sides are unique per key, so no key can be frequent. ``keys_in``: where to look for
+    frequent keys when ``many`` itself is costly to compute, for example the table its keys come from.
+    """
     keys = [on] if isinstance(on, str) else list(on)
     if is_small(one, broadcast_limit):
         return many.join(F.broadcast(one), keys, how)
     if many_is_unique:
         return many.join(one, keys, how)
-    return _sliced_join(many, one, keys, how)
+    return _sliced_join(many, one, keys, how, many if keys_in is None else keys_in)
 
 
-def _sliced_join(many: DataFrame, one: DataFrame, keys: list[str], how: str) -> DataFrame:
+def _sliced_join(many: DataFrame, one: DataFrame, keys: list[str], how: str, keys_in: DataFrame) -> DataFrame:
     has_key = F.lit(True)
     for k in keys:
         has_key = has_key & F.col(k).isNotNull()
     key_hash = F.when(has_key, F.xxhash64(*keys))
-    hot = F.broadcast(frequent_keys(many.select(*keys), key_hash))
+    slices, many_without_key = frequent_keys(keys_in.select(*keys), key_hash)
+    if not slices and not many_without_key:
+        return many.join(one, keys, how)
+    hot = F.broadcast(many.sparkSession.createDataFrame(list(slices.items()), "__h bigint, __slices int"))
 
     # The slice of a row depends on its input partition only, so a recomputed task gives the same slices. Rows
     # without a key match nothing; they are spread over all slices instead of meeting in one task.
-    place = F.xxhash64(F.spark_partition_id())
+    of_row = F.when(F.col("__h").isNull(), F.lit(SLICES)).otherwise(F.col("__slices"))
+    place = F.pmod(F.xxhash64(F.spark_partition_id()), of_row)
     sliced_many = (
         many.withColumn("__h", key_hash)
         .join(hot, "__h", "left")
-        .withColumn("__slices", F.when(F.col("__h").isNull(), F.lit(SLICES)).otherwise(F.col("__slices")))
-        .withColumn("__slice", F.when(F.col("__slices").isNull(), F.lit(0)).otherwise(F.pmod(place, "__slices")))
-        .withColumn("__slice", F.col("__slice").cast("int"))
+        .withColumn("__slice", F.coalesce(place, F.lit(0)).cast("int"))
         .drop("__h", "__slices")
     )
     sliced_one = (

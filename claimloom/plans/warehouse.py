@@ -11,6 +11,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from claimloom.functions import clean_text
 from claimloom.plans import dims, economics, facts, marts, quarantine, scope, staging
 
 Model = Callable[["Warehouse"], DataFrame]
@@ -65,7 +66,8 @@ class Warehouse:
 
     @_model
     def claims_judged(self):
-        return scope.judge_claims(self.stg_claims, self.stg_pharmacies)
+        npis = self.raw["claims"].select(clean_text(F.col("npi")).alias("npi"))
+        return scope.judge_claims(self.stg_claims, self.stg_pharmacies, npis)
 
     @_model
     def claims_scoped(self):
