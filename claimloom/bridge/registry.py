@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,7 +29,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 
-EPOCH = datetime.date(1970, 1, 1)
+EPOCH = "DATE'1970-01-01'"
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
@@ -54,10 +53,10 @@ def _over_events(fn: Callable[[DataFrame], DataFrame]):
 def clean_text_(wh):
     return wh.raw["lookups"].select(
         F.col("id").alias("raw_id"),
-        clean_text(F.col("id")).alias("id"),
-        clean_text(F.col("ndc")).alias("ndc"),
-        clean_text(F.col("partner")).alias("partner"),
-        lower_text(F.col("channel")).alias("channel"),
+        clean_text("id").alias("id"),
+        clean_text("ndc").alias("ndc"),
+        clean_text("partner").alias("partner"),
+        lower_text("channel").alias("channel"),
     )
 
 
@@ -69,11 +68,11 @@ def safe_parse(wh):
     return wh.raw["claims"].select(
         "id",
         F.col("price").alias("price_raw"),
-        parse_double(F.col("price")).alias("price"),
-        parse_double(F.col("quantity")).alias("quantity"),
-        parse_double(F.col("pbm_fee")).alias("pbm_fee"),
+        parse_double("price").alias("price"),
+        parse_double("quantity").alias("quantity"),
+        parse_double("pbm_fee").alias("pbm_fee"),
         F.col("timestamp").alias("timestamp_raw"),
-        parse_timestamp(F.col("timestamp")).alias("filled_at"),
+        parse_timestamp("timestamp").alias("filled_at"),
     )
 
 
@@ -86,7 +85,7 @@ def _safe_ratio(wh):
     by_site = wh.stg_claims.groupBy("npi").agg(
         F.count("*").alias("claims"), F.count_if(F.col("quantity") < 0).alias("bad_quantities")
     )
-    return by_site.withColumn("claims_per_bad_quantity", safe_ratio(F.col("claims"), F.col("bad_quantities")))
+    return by_site.withColumn("claims_per_bad_quantity", safe_ratio("claims", "bad_quantities"))
 
 
 _over_warehouse(_safe_ratio, "safe_ratio")
@@ -113,7 +112,7 @@ def dq_classify_lookups(wh):
 
 @_over_warehouse
 def duplicate_ids(wh):
-    return repeated_ids(wh.raw["claims"].select(clean_text(F.col("id")).alias("claim_id")), "claim_id")
+    return repeated_ids(wh.raw["claims"].select(clean_text("id").alias("claim_id")), "claim_id")
 
 
 @_over_warehouse
@@ -205,7 +204,7 @@ def key_violations(wh):
 @_over_warehouse
 def enum_violations(wh):
     tables = {name: checks.STAGING[name] for name in ("stg_claims", "stg_partners", "stg_price_history")}
-    unlisted = {"lookups.channel.accepted": ~F.col("channel").isin("integration", "website")}
+    unlisted = {"lookups.channel.accepted": checks.unlisted("channel", ["integration", "website"])}
     return checks.union([*checks.enum_checks(wh, tables), count_violations(wh.stg_lookups, unlisted)])
 
 
@@ -256,7 +255,7 @@ def asof_events(events):
         "ts",
         "view_ts",
         ["view_value"],
-        bucket=lambda ts: minutes_crossed(F.lit(EPOCH), ts),
+        bucket=lambda ts: minutes_crossed(EPOCH, ts),
         form="timeline",
     )
 
@@ -281,6 +280,6 @@ def hours_between_events(events):
     span = events.groupBy("user_id").agg(F.min("ts").alias("first"), F.max("ts").alias("last"))
     return span.select(
         "user_id",
-        hours_crossed(F.col("first"), F.col("last")).alias("hours_crossed"),
-        minutes_crossed(F.col("first"), F.col("last")).alias("minutes_crossed"),
+        hours_crossed("first", "last").alias("hours_crossed"),
+        minutes_crossed("first", "last").alias("minutes_crossed"),
     )

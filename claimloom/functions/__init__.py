@@ -1,4 +1,7 @@
-"""Column -> Column helpers. Built-in expressions only, so they stay inside codegen."""
+"""SQL expression -> Column helpers. Built-in expressions only, so they stay inside codegen.
+
+They take text rather than Columns so that each is one call from Python, however many functions it combines.
+"""
 
 from claimloom.functions.money import safe_ratio, to_cents
 from claimloom.functions.parsing import parse_bigint, parse_double, parse_timestamp, parse_us_date

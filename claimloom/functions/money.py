@@ -1,4 +1,4 @@
-"""Integer cents and ratios."""
+"""Integer cents and ratios (P4, P5, F10). Arguments are column names or SQL expressions."""
 
 from __future__ import annotations
 
@@ -6,11 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def to_cents(amount: Column) -> Column:
+def to_cents(amount: str) -> Column:
     """A dollar amount (double) as integer cents, half away from zero; NULL when it does not fit a bigint."""
-    return F.round(amount * F.lit(100)).try_cast("bigint")
+    return F.expr(f"try_cast(round(({amount}) * 100) AS bigint)")
 
 
-def safe_ratio(numerator: Column, denominator: Column) -> Column:
+def safe_ratio(numerator: str, denominator: str) -> Column:
     """A double ratio; NULL when the denominator is NULL or zero."""
-    return F.try_divide(numerator.cast("double"), denominator.cast("double"))
+    return F.expr(f"try_divide(cast({numerator} AS double), cast({denominator} AS double))")

@@ -1,7 +1,7 @@
 """Fault-tolerant casts: a value that does not parse is NULL, never an error.
 
 A bare ``try_cast`` accepts more than the accepted input grammar (``1.0d``, ``NaN``, ``now``, ``2026``), so each
-cast is guarded by a pattern.
+cast is guarded by a pattern. Arguments are column names or SQL expressions.
 """
 
 from __future__ import annotations
@@ -19,25 +19,29 @@ TIMESTAMP = (
 )
 US_DATE = "M/d/yyyy"
 
+LARGEST = f"{sys.float_info.max}D"
 
-def parse_double(c: Column) -> Column:
+
+def _double(x: str) -> str:
+    number = f"try_cast(trim({x}) AS double)"
+    return f"CASE WHEN trim({x}) RLIKE r'{NUMBER}' AND abs({number}) <= {LARGEST} THEN {number} END"
+
+
+def parse_double(x: str) -> Column:
     """Text to a finite double."""
-    text = F.trim(c)
-    number = text.try_cast("double")
-    finite = F.abs(number) <= F.lit(sys.float_info.max)
-    return F.when(text.rlike(NUMBER) & finite, number)
+    return F.expr(_double(x))
 
 
-def parse_bigint(c: Column) -> Column:
+def parse_bigint(x: str) -> Column:
     """Text to bigint; a decimal is rounded half away from zero (``1.7`` is 2)."""
-    return F.round(parse_double(c)).try_cast("bigint")
+    return F.expr(f"try_cast(round({_double(x)}) AS bigint)")
 
 
-def parse_timestamp(c: Column) -> Column:
+def parse_timestamp(x: str) -> Column:
     """Text to a timestamp without zone; a zone suffix is read past, not applied."""
-    return F.when(c.rlike(TIMESTAMP), c.try_cast("timestamp_ntz"))
+    return F.expr(f"CASE WHEN {x} RLIKE r'{TIMESTAMP}' THEN try_cast({x} AS timestamp_ntz) END")
 
 
-def parse_us_date(c: Column) -> Column:
+def parse_us_date(x: str) -> Column:
     """``3/4/2026`` or ``03/04/2026`` to a date."""
-    return F.try_to_date(c, US_DATE)
+    return F.expr(f"try_to_date({x}, '{US_DATE}')")

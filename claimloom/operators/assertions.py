@@ -40,8 +40,8 @@ def violation_count(check: str, violations: DataFrame) -> DataFrame:
     return violations.agg(F.count("*").alias("violations")).select(F.lit(check).alias("check_name"), "violations")
 
 
-def count_violations(df: DataFrame, checks: Mapping[str, Column]) -> DataFrame:
-    """One row (check_name, violations) per row predicate, all counted in one pass."""
-    counts = df.agg(*(F.count_if(predicate).alias(f"n{i}") for i, predicate in enumerate(checks.values())))
-    rows = (F.struct(F.lit(name).alias("check_name"), F.col(f"n{i}").alias("violations")) for i, name in enumerate(checks))
-    return counts.select(F.inline(F.array(*rows)))
+def count_violations(df: DataFrame, checks: Mapping[str, str]) -> DataFrame:
+    """One row (check_name, violations) per SQL row predicate, all counted in one pass."""
+    counts = df.agg(*(F.expr(f"count_if({predicate}) AS n{i}") for i, predicate in enumerate(checks.values())))
+    rows = ", ".join(f"named_struct('check_name', '{name}', 'violations', n{i})" for i, name in enumerate(checks))
+    return counts.selectExpr(f"inline(array({rows}))")

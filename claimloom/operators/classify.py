@@ -9,24 +9,24 @@ from pyspark.sql import functions as F
 
 from claimloom.operators.joins import attach
 
-Rule = tuple[str, Column]
+Rule = tuple[str, str]
+"""A reason and the SQL predicate it stands for."""
 
 
 def first_match(rules: Sequence[Rule]) -> Column:
     """The reason of the first rule that holds; NULL when none does."""
-    return F.coalesce(*(F.when(predicate, F.lit(reason)) for reason, predicate in rules))
+    return F.expr("CASE " + " ".join(f"WHEN {predicate} THEN '{reason}'" for reason, predicate in rules) + " END")
 
 
-def any_null(*columns: str) -> Column:
-    found = F.lit(False)
-    for c in columns:
-        found = found | F.col(c).isNull()
-    return found
+def any_null(*columns: str) -> str:
+    return "(" + " OR ".join(f"{c} IS NULL" for c in columns) + ")"
 
 
-def relabel(code: Column, labels: Mapping[str, str], default: str | None = None) -> Column:
+def relabel(code: str, labels: Mapping[str, str], default: str | None = None) -> Column:
     """Map codes to labels; a code without label is ``default``."""
-    return F.coalesce(*(F.when(code == k, F.lit(v)) for k, v in labels.items()), F.lit(default).cast("string"))
+    cases = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in labels.items())
+    otherwise = "" if default is None else f"ELSE '{default}'"
+    return F.expr(f"CASE {code} {cases} {otherwise} END")
 
 
 def repeated_ids(df: DataFrame, key: str, out: str = "occurrences") -> DataFrame:

@@ -41,7 +41,7 @@ def asof_left_join(
     since: str,
     payload: Sequence[str],
     *,
-    bucket: Callable[[Column], Column] | None = None,
+    bucket: Callable[[str], Column] | None = None,
     form: str = "auto",
 ) -> DataFrame:
     """For each fact the history row of its key with the greatest ``since <= at``, inclusive; NULLs when none.
@@ -74,7 +74,7 @@ def _asof_on_timeline(
     at: str,
     since: str,
     payload: Sequence[str],
-    bucket: Callable[[Column], Column] | None,
+    bucket: Callable[[str], Column] | None,
 ) -> DataFrame:
     """Resolve each distinct (key, at) pair once, then attach the answers to the facts.
 
@@ -93,7 +93,7 @@ def _asof_on_timeline(
     line = (
         marks.withColumn("__probe", F.lit(0))
         .unionByName(probes.withColumns({"__mark": F.lit(None).cast(mark_type), "__probe": F.lit(1)}))
-        .withColumn("__bucket", bucketed(F.col("__t")))
+        .withColumn("__bucket", bucketed("__t"))
     )
     so_far = Window.partitionBy(key, "__bucket").orderBy("__t", "__probe").rowsBetween(Window.unboundedPreceding, 0)
     answers = line.withColumn("__mark", F.last("__mark", ignorenulls=True).over(so_far)).where("__probe = 1")

@@ -47,8 +47,8 @@ def drug_dim(claims: DataFrame, lookups: DataFrame, prices: DataFrame) -> DataFr
     )
     return attach(observed, latest, "ndc", many_is_unique=True).select(
         "ndc",
-        or_default(F.col("ndc_description"), NO_DESCRIPTION).alias("ndc_description"),
-        or_default(F.col("drug_class"), "unknown").alias("drug_class"),
+        or_default("ndc_description", NO_DESCRIPTION).alias("ndc_description"),
+        or_default("drug_class", "unknown").alias("drug_class"),
         "pricing_unit",
         "is_otc",
         "latest_unit_cost_usd",

@@ -31,8 +31,8 @@ def attribution(lookups: DataFrame) -> DataFrame:
     )
     return first.select(
         "claim_id",
-        or_default(F.col("partner"), "direct").alias("partner"),
-        or_default(F.col("channel"), "direct").alias("channel"),
+        or_default("partner", "direct").alias("partner"),
+        or_default("channel", "direct").alias("channel"),
         F.col("lookup_id").alias("attributing_lookup_id"),
         "looked_up_at",
         "attributing_lookup_count",
@@ -55,8 +55,8 @@ def with_cost(claims: DataFrame, prices: DataFrame, form: str = "auto") -> DataF
     return priced.withColumnRenamed("effective_date", "cost_effective_date").withColumns(
         {
             "cost_basis": F.when(matched, F.lit("as_of_fill_date")).otherwise(F.lit("no_match")),
-            "est_acquisition_cost_cents": to_cents(F.col("unit_cost_usd") * F.col("quantity")),
-            "est_generic_cost_cents": to_cents(F.col("generic_unit_cost_usd") * F.col("quantity")),
+            "est_acquisition_cost_cents": to_cents("unit_cost_usd * quantity"),
+            "est_generic_cost_cents": to_cents("generic_unit_cost_usd * quantity"),
             "has_cost_match": matched,
         }
     )
@@ -65,7 +65,7 @@ def with_cost(claims: DataFrame, prices: DataFrame, form: str = "auto") -> DataF
 def with_terms(df: DataFrame, terms: DataFrame) -> DataFrame:
     """Add the commercial terms of the partner; a partner without terms has the model ``none``."""
     joined = attach(df, terms.select("partner", *TERMS), "partner")
-    return joined.withColumn("fee_model", or_default(F.col("fee_model"), "none"))
+    return joined.withColumn("fee_model", or_default("fee_model", "none"))
 
 
 def with_fee_split(df: DataFrame) -> DataFrame:
@@ -95,7 +95,7 @@ def fee_economics(claims: DataFrame, attributed: DataFrame, terms: DataFrame) ->
         attributed.select("claim_id", "partner"),
         "claim_id",
         many_is_unique=True,
-    ).withColumn("partner", or_default(F.col("partner"), "direct"))
+    ).withColumn("partner", or_default("partner", "direct"))
     return with_fee_split(with_terms(origin, terms)).select(
         "claim_id",
         "partner",

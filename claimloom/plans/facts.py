@@ -67,7 +67,7 @@ def claim_outcome(claims: DataFrame, attributed: DataFrame, terms: DataFrame, re
     wide = attach(claims, origin, "claim_id", many_is_unique=True)
     wide = attach(wide, reversal, "claim_id", many_is_unique=True)
     wide = wide.withColumns(
-        {"partner": or_default(F.col("partner"), "direct"), "channel": or_default(F.col("channel"), "direct")}
+        {"partner": or_default("partner", "direct"), "channel": or_default("channel", "direct")}
     )
     return (
         with_fee_split(with_terms(wide, terms))
@@ -75,8 +75,8 @@ def claim_outcome(claims: DataFrame, attributed: DataFrame, terms: DataFrame, re
         .withColumns(
             {
                 "is_reverted": F.col("reverted_at").isNotNull(),
-                "hours_to_revert": hours_crossed(F.col("filled_at"), F.col("reverted_at")),
-                "minutes_lookup_to_fill": minutes_crossed(F.col("looked_up_at"), F.col("filled_at")),
+                "hours_to_revert": hours_crossed("filled_at", "reverted_at"),
+                "minutes_lookup_to_fill": minutes_crossed("looked_up_at", "filled_at"),
             }
         )
         .withColumns(

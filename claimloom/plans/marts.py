@@ -19,7 +19,7 @@ def exact_avg(measure: str) -> Column:
 
 
 def _zero_for_null(df: DataFrame, columns: list[str]) -> DataFrame:
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(0).cast("bigint")) for c in columns})
+    return df.fillna(0, subset=columns)
 
 
 def partner_performance(partners: DataFrame, claim_facts: DataFrame, lookup_facts: DataFrame) -> DataFrame:
@@ -51,11 +51,11 @@ def partner_performance(partners: DataFrame, claim_facts: DataFrame, lookup_fact
     joined = attach(joined, by_lookup, "partner", many_is_unique=True)
     rated = joined.withColumns(
         {
-            "fee_retention": safe_ratio(F.col("net_retained_cents"), F.col("net_pbm_fee_cents")),
-            "conversion_rate": safe_ratio(F.col("claims"), F.col("lookups")),
-            "reversal_rate": safe_ratio(F.col("reverted_claims"), F.col("claims")),
-            "revenue_cents_per_lookup": safe_ratio(F.col("net_retained_cents"), F.col("lookups")),
-            "revenue_cents_per_net_claim": safe_ratio(F.col("net_retained_cents"), F.col("net_claims")),
+            "fee_retention": safe_ratio("net_retained_cents", "net_pbm_fee_cents"),
+            "conversion_rate": safe_ratio("claims", "lookups"),
+            "reversal_rate": safe_ratio("reverted_claims", "claims"),
+            "revenue_cents_per_lookup": safe_ratio("net_retained_cents", "lookups"),
+            "revenue_cents_per_net_claim": safe_ratio("net_retained_cents", "net_claims"),
         }
     )
     counted = [
@@ -102,10 +102,10 @@ def drug_economics(drugs: DataFrame, claim_facts: DataFrame, lookup_facts: DataF
     joined = attach(joined, by_lookup, "ndc", many_is_unique=True)
     rated = joined.withColumns(
         {
-            "reversal_rate": safe_ratio(F.col("reverted_claims"), F.col("claims")),
-            "conversion_rate": safe_ratio(F.col("claims"), F.col("lookups")),
-            "take_rate": safe_ratio(F.col("net_retained_cents"), F.col("net_gmv_cents")),
-            "pharmacy_margin_rate": safe_ratio(F.col("net_pharmacy_margin_cents"), F.col("net_gmv_cents")),
+            "reversal_rate": safe_ratio("reverted_claims", "claims"),
+            "conversion_rate": safe_ratio("claims", "lookups"),
+            "take_rate": safe_ratio("net_retained_cents", "net_gmv_cents"),
+            "pharmacy_margin_rate": safe_ratio("net_pharmacy_margin_cents", "net_gmv_cents"),
         }
     )
     return _zero_for_null(
@@ -189,6 +189,6 @@ def funnel_daily(claim_facts: DataFrame, lookups: DataFrame) -> DataFrame:
         "partner",
         "channel",
         *FUNNEL_MEASURES,
-        safe_ratio(F.col("conversions"), F.col("lookups")).alias("conversion_rate"),
-        safe_ratio(F.col("claims_filled_then_reverted"), F.col("claims")).alias("cohort_reversal_rate"),
+        safe_ratio("conversions", "lookups").alias("conversion_rate"),
+        safe_ratio("claims_filled_then_reverted", "claims").alias("cohort_reversal_rate"),
     )

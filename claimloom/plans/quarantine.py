@@ -47,15 +47,14 @@ PAYLOADS = {
 def rejected(source: str, judged: DataFrame) -> DataFrame:
     """The stopped rows of one source, malformed and out of scope alike, in one pass over it."""
     payload = PAYLOADS[source]
-    scope_reason = F.col("scope_exclusion_reason") if "scope_exclusion_reason" in judged.columns else F.lit(None)
-    in_staging = F.col("dq_reject_reason").isNotNull()
-    reason = F.coalesce(F.col("dq_reject_reason"), scope_reason.cast("string"))
+    scoped = "scope_exclusion_reason" in judged.columns
+    reason = "coalesce(dq_reject_reason, scope_exclusion_reason)" if scoped else "dq_reject_reason"
     record = F.struct(*(F.col(column).alias(field) for field, column in payload.items()))
-    return judged.where(reason.isNotNull()).select(
+    return judged.where(f"{reason} IS NOT NULL").select(
         F.lit(source).alias("source_table"),
-        F.when(in_staging, F.lit("staging")).otherwise(F.lit("intermediate")).alias("detected_in"),
+        F.expr("CASE WHEN dq_reject_reason IS NOT NULL THEN 'staging' ELSE 'intermediate' END AS detected_in"),
         F.col(payload["id"]).alias("record_id"),
-        reason.alias("reject_reason"),
+        F.expr(reason).alias("reject_reason"),
         relabel(reason, DEFECT_CLASSES).alias("defect_class"),
         "_source_file",
         F.to_json(record, {"ignoreNullFields": "false"}).alias("raw_payload"),

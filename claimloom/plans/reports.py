@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimloom.functions import safe_ratio
+from claimloom.operators.classify import first_match
 from claimloom.operators.reshape import pivot_sum, to_long, top, with_share_of_total
 from claimloom.plans.dims import SYNTHETIC_PARTNERS
 
@@ -15,10 +16,9 @@ from claimloom.plans.dims import SYNTHETIC_PARTNERS
 BANDS = [(10_000, "1 · up to $100"), (1_000_000, "2 · $100 to $10k"), (None, "3 · above $10k")]
 
 
-def value_band(price_cents: Column) -> Column:
+def value_band(price_cents: str) -> Column:
     """Half-open bands, tested in order."""
-    tests = [F.lit(label) if limit is None else F.when(price_cents < limit, label) for limit, label in BANDS]
-    return F.coalesce(*tests)
+    return first_match([(label, "true" if limit is None else f"{price_cents} < {limit}") for limit, label in BANDS])
 
 
 def headline_totals(claim_facts: DataFrame) -> DataFrame:
@@ -48,7 +48,6 @@ def reject_audit(rejects: DataFrame, reason: str = "unparseable_number", n: int
 
 
 def partners_in_chain(claim_facts: DataFrame, chain: str) -> DataFrame:
-    reverted = F.count_if("is_reverted")
     return (
         claim_facts.where(F.col("chain") == chain)
         .groupBy("partner")
@@ -59,7 +58,7 @@ def partners_in_chain(claim_facts: DataFrame, chain: str) -> DataFrame:
             F.sum("net_pbm_fee_cents").alias("fee_collected_cents"),
             F.sum("net_partner_fee_cents").alias("payout_cents"),
             F.sum("net_retained_cents").alias("net_retained_cents"),
-            safe_ratio(reverted, F.count("*")).alias("reversal_rate"),
+            safe_ratio("count_if(is_reverted)", "count(*)").alias("reversal_rate"),
         )
         .orderBy(F.desc("net_retained_cents"))
     )
@@ -118,12 +117,12 @@ def price_fee_points(claim_facts: DataFrame) -> DataFrame:
 def value_bands(claim_facts: DataFrame) -> DataFrame:
     return (
         claim_facts.where(~F.col("is_reverted"))
-        .groupBy(value_band(F.col("price_cents")).alias("band"))
+        .groupBy(value_band("price_cents").alias("band"))
         .agg(
             F.count("*").alias("claims"),
             F.sum("price_cents").alias("gmv_cents"),
             F.sum("pbm_fee_cents").alias("fee_cents"),
-            safe_ratio(F.sum("pbm_fee_cents"), F.sum("price_cents")).alias("take_rate"),
+            safe_ratio("sum(pbm_fee_cents)", "sum(price_cents)").alias("take_rate"),
         )
         .orderBy("band")
     )
@@ -156,23 +155,22 @@ def reversal_cost(claim_facts: DataFrame) -> DataFrame:
     )
     return totals.withColumns(
         {
-            "share_of_potential": safe_ratio(F.col("revenue_lost_cents"), F.col("revenue_potential_cents")),
-            "share_of_retained": safe_ratio(F.col("revenue_lost_cents"), F.col("net_retained_cents")),
+            "share_of_potential": safe_ratio("revenue_lost_cents", "revenue_potential_cents"),
+            "share_of_retained": safe_ratio("revenue_lost_cents", "net_retained_cents"),
         }
     )
 
 
 def cross_month_reversals(claim_facts: DataFrame) -> DataFrame:
     """Reversals per fill month, and how many of them came in another month than the fill."""
-    fill_month = F.trunc("filled_date", "month")
-    other = F.trunc(F.col("reverted_at").cast("date"), "month") != fill_month
+    other = "count_if(trunc(reverted_at, 'month') <> trunc(filled_date, 'month'))"
     return (
         claim_facts.where("is_reverted")
-        .groupBy(fill_month.alias("fill_month"))
+        .groupBy(F.trunc("filled_date", "month").alias("fill_month"))
         .agg(
             F.count("*").alias("reversals"),
-            F.count_if(other).alias("in_other_month"),
-            safe_ratio(F.count_if(other), F.count("*")).alias("other_month_share"),
+            F.expr(other).alias("in_other_month"),
+            safe_ratio(other, "count(*)").alias("other_month_share"),
         )
         .orderBy("fill_month")
     )
@@ -184,6 +182,6 @@ def weekly_reversal_rate(funnel: DataFrame) -> DataFrame:
         funnel.where(~F.col("partner").isin(*SYNTHETIC_PARTNERS))
         .groupBy("week_start", "partner")
         .agg(F.sum("claims").alias("claims"), F.sum("claims_filled_then_reverted").alias("reverted"))
-        .withColumn("rate", safe_ratio(F.col("reverted"), F.col("claims")))
+        .withColumn("rate", safe_ratio("reverted", "claims"))
         .orderBy("week_start", "partner")
     )

@@ -74,11 +74,11 @@ def channel_levers(claim_facts: DataFrame, lookup_facts: DataFrame) -> DataFrame
     )
     measures = [c for c in from_lookups.columns if c != "channel"]
     both = from_lookups.unionByName(from_claims).groupBy("channel").agg(*(F.sum(m).alias(m) for m in measures))
-    per_conversion = safe_ratio(F.col("converted_retained_cents"), F.col("conversions"))
+    per_conversion = safe_ratio("converted_retained_cents", "conversions")
     return both.withColumns(
         {
-            "conversion_rate": safe_ratio(F.col("conversions"), F.col("lookups")),
-            "reversal_rate": safe_ratio(F.col("reverted_claims"), F.col("claims")),
+            "conversion_rate": safe_ratio("conversions", "lookups"),
+            "reversal_rate": safe_ratio("reverted_claims", "claims"),
             "cents_per_conversion_point": per_conversion * F.col("lookups") / 100,
             "cents_if_half_recovered": F.col("reversed_retained_cents").cast("double") / 2,
         }

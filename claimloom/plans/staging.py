@@ -37,13 +37,13 @@ DRUG_CLASSES = {"B": "brand", "G": "generic"}
 
 def claims(raw: DataFrame) -> DataFrame:
     typed = raw.select(
-        clean_text(F.col("id")).alias("claim_id"),
-        clean_text(F.col("npi")).alias("npi"),
-        clean_text(F.col("ndc")).alias("ndc"),
-        parse_timestamp(F.col("timestamp")).alias("filled_at"),
-        parse_double(F.col("price")).alias("price"),
-        parse_double(F.col("pbm_fee")).alias("pbm_fee"),
-        parse_double(F.col("quantity")).alias("quantity"),
+        clean_text("id").alias("claim_id"),
+        clean_text("npi").alias("npi"),
+        clean_text("ndc").alias("ndc"),
+        parse_timestamp("timestamp").alias("filled_at"),
+        parse_double("price").alias("price"),
+        parse_double("pbm_fee").alias("pbm_fee"),
+        parse_double("quantity").alias("quantity"),
         F.col("price").alias("price_raw"),
         F.col("quantity").alias("quantity_raw"),
         F.col("pbm_fee").alias("pbm_fee_raw"),
@@ -52,8 +52,8 @@ def claims(raw: DataFrame) -> DataFrame:
     ).withColumns(
         {
             "filled_date": F.col("filled_at").cast("date"),
-            "price_cents": to_cents(F.col("price")),
-            "pbm_fee_cents": to_cents(F.col("pbm_fee")),
+            "price_cents": to_cents("price"),
+            "pbm_fee_cents": to_cents("pbm_fee"),
         }
     )
     missing = any_null("claim_id", "npi", "ndc", "price_raw", "quantity_raw", "pbm_fee_raw", "timestamp_raw")
@@ -64,10 +64,10 @@ def claims(raw: DataFrame) -> DataFrame:
         [
             missing,
             unreadable,
-            F.col("filled_at").isNull(),
-            (F.col("price") <= 0) | (F.col("quantity") <= 0),
+            "filled_at IS NULL",
+            "price <= 0 OR quantity <= 0",
             # Counted over all rows: a clean row whose twin is malformed is ambiguous too.
-            F.col("id_occurrences") > 1,
+            "id_occurrences > 1",
         ],
     )
     return with_occurrences(typed, "claim_id").select(
@@ -91,9 +91,9 @@ def claims(raw: DataFrame) -> DataFrame:
 
 def reverts(raw: DataFrame) -> DataFrame:
     typed = raw.select(
-        clean_text(F.col("id")).alias("revert_id"),
-        clean_text(F.col("claim_id")).alias("claim_id"),
-        parse_timestamp(F.col("timestamp")).alias("reverted_at"),
+        clean_text("id").alias("revert_id"),
+        clean_text("claim_id").alias("claim_id"),
+        parse_timestamp("timestamp").alias("reverted_at"),
         F.col("timestamp").alias("timestamp_raw"),
         "_source_file",
     )
@@ -101,8 +101,8 @@ def reverts(raw: DataFrame) -> DataFrame:
         REVERT_REASONS,
         [
             any_null("revert_id", "claim_id", "timestamp_raw"),
-            F.col("reverted_at").isNull(),
-            F.col("id_occurrences") > 1,
+            "reverted_at IS NULL",
+            "id_occurrences > 1",
         ],
     )
     return with_occurrences(typed, "revert_id").select(
@@ -118,20 +118,19 @@ def reverts(raw: DataFrame) -> DataFrame:
 
 def lookups(raw: DataFrame) -> DataFrame:
     """A lookup without partner or channel is kept under ``unknown``: it is a real event of the funnel."""
-    partner = clean_text(F.col("partner"))
     rules = zip(
         LOOKUP_REASONS,
-        [any_null("lookup_id", "ndc", "timestamp_raw"), F.col("looked_up_at").isNull()],
+        [any_null("lookup_id", "ndc", "timestamp_raw"), "looked_up_at IS NULL"],
     )
     return raw.select(
-        clean_text(F.col("id")).alias("lookup_id"),
-        clean_text(F.col("claim_id")).alias("claim_id"),
-        clean_text(F.col("ndc")).alias("ndc"),
-        or_default(partner, "unknown").alias("partner"),
-        or_default(lower_text(F.col("channel")), "unknown").alias("channel"),
-        parse_timestamp(F.col("timestamp")).alias("looked_up_at"),
-        parse_timestamp(F.col("timestamp")).cast("date").alias("lookup_date"),
-        partner.isNull().alias("partner_was_missing"),
+        clean_text("id").alias("lookup_id"),
+        clean_text("claim_id").alias("claim_id"),
+        clean_text("ndc").alias("ndc"),
+        or_default("nullif(trim(partner), '')", "unknown").alias("partner"),
+        or_default("lower(nullif(trim(channel), ''))", "unknown").alias("channel"),
+        parse_timestamp("timestamp").alias("looked_up_at"),
+        parse_timestamp("timestamp").cast("date").alias("lookup_date"),
+        clean_text("partner").isNull().alias("partner_was_missing"),
         F.col("timestamp").alias("timestamp_raw"),
         "_source_file",
     ).withColumn("dq_reject_reason", first_match(list(rules)))
@@ -140,19 +139,19 @@ def lookups(raw: DataFrame) -> DataFrame:
 def pharmacies(raw: DataFrame) -> DataFrame:
     """One row per npi; of several, the first chain in order, a blank chain last."""
     cleaned = raw.select(
-        clean_text(F.col("npi")).alias("npi"), lower_text(F.col("chain")).alias("chain"), "_source_file"
+        clean_text("npi").alias("npi"), lower_text("chain").alias("chain"), "_source_file"
     ).where(F.col("npi").isNotNull())
     first = one_per_key(cleaned, ["npi"], [F.col("chain").asc_nulls_last(), F.col("_source_file")])
-    return first.withColumn("chain", or_default(F.col("chain"), "unknown"))
+    return first.withColumn("chain", or_default("chain", "unknown"))
 
 
 def partners(raw: DataFrame) -> DataFrame:
     """Commercial terms. A flat fee of 0 is a value, not a gap; percentages become rates of 0 to 1."""
-    flat = parse_bigint(clean_text(F.col("fee_cents")))
-    share = parse_double(clean_text(F.col("fee_percentage")))
+    flat = parse_bigint("fee_cents")
+    share = parse_double("fee_percentage")
     model = F.when(flat.isNotNull(), "flat").when(share.isNotNull(), "percentage").otherwise("unknown")
     return raw.select(
-        clean_text(F.col("partner")).alias("partner"),
+        clean_text("partner").alias("partner"),
         flat.alias("flat_fee_cents"),
         (share / 100).alias("fee_rate"),
         model.alias("fee_model"),
@@ -163,15 +162,15 @@ def partners(raw: DataFrame) -> DataFrame:
 def price_history(raw: DataFrame) -> DataFrame:
     """One unit price per (ndc, effective_date): the one confirmed last. Rates stay unrounded doubles."""
     typed = raw.select(
-        clean_text(F.col("ndc")).alias("ndc"),
+        clean_text("ndc").alias("ndc"),
         F.trim("ndc_description").alias("ndc_description"),
-        parse_double(F.col("unit_price")).alias("unit_cost_usd"),
-        parse_double(F.col("generic_unit_price")).alias("generic_unit_cost_usd"),
-        parse_us_date(F.col("effective_date")).alias("effective_date"),
-        parse_us_date(F.col("as_of_date")).alias("as_of_date"),
-        upper_text(F.col("pricing_unit")).alias("pricing_unit"),
-        relabel(upper_text(F.col("classification")), DRUG_CLASSES, "unknown").alias("drug_class"),
-        (upper_text(F.col("otc")) == "Y").alias("is_otc"),
+        parse_double("unit_price").alias("unit_cost_usd"),
+        parse_double("generic_unit_price").alias("generic_unit_cost_usd"),
+        parse_us_date("effective_date").alias("effective_date"),
+        parse_us_date("as_of_date").alias("as_of_date"),
+        upper_text("pricing_unit").alias("pricing_unit"),
+        relabel("upper(trim(classification))", DRUG_CLASSES, "unknown").alias("drug_class"),
+        (upper_text("otc") == "Y").alias("is_otc"),
     )
     usable = typed.where(
         F.col("ndc").isNotNull() & F.col("effective_date").isNotNull() & (F.col("unit_cost_usd") > 0)

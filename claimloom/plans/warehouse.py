@@ -66,7 +66,7 @@ class Warehouse:
 
     @_model
     def claims_judged(self):
-        npis = self.raw["claims"].select(clean_text(F.col("npi")).alias("npi"))
+        npis = self.raw["claims"].select(clean_text("npi").alias("npi"))
         return scope.judge_claims(self.stg_claims, self.stg_pharmacies, npis)
 
     @_model

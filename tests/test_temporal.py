@@ -41,7 +41,7 @@ BUCKETS = {
     "ranges": dict(form="ranges"),
     "timeline": dict(form="timeline"),
     "timeline by hour": dict(form="timeline", bucket=lambda t: F.hour(t)),
-    "timeline by minute": dict(form="timeline", bucket=lambda t: minutes_crossed(F.lit(EPOCH.date()), t)),
+    "timeline by minute": dict(form="timeline", bucket=lambda t: minutes_crossed("DATE'2026-01-01'", t)),
 }
 
 
