@@ -74,6 +74,13 @@ def test_empty_input(spark):
     assert attach(empty, unique_side(spark), "k", broadcast_limit=-1).count() == 0
 
 
+def test_no_row_has_a_key(spark):
+    none = spark.range(0, 100, 1, 4).select("id", F.lit(None).cast("string").alias("k"))
+    assert frequent_keys(none, F.when(F.col("k").isNotNull(), F.xxhash64("k"))) == ({}, True)
+    joined = attach(none, unique_side(spark), "k", broadcast_limit=-1)
+    assert joined.count() == 100 and joined.where("v is not null").count() == 0
+
+
 def test_frequent_keys_may_come_from_another_frame(spark):
     many, one = skewed(spark), unique_side(spark)
     got = attach(many, one, "k", broadcast_limit=-1, keys_in=many.where("id < 3000"))
