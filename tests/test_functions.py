@@ -75,6 +75,7 @@ def test_bigint_rounds_decimals(frame):
 
 def test_us_date(frame):
     values = {"03/04/2026": dt.date(2026, 3, 4), "3/4/2026": dt.date(2026, 3, 4), "2026-03-04": None, "13/40/2026": None}
+    values |= {"02/29/2024": dt.date(2024, 2, 29), "02/29/2026": None, "3/4/26": None, "": None, None: None}
     assert evaluate(frame, "x string", list(values), fn.parse_us_date("x")) == list(values.values())
 
 
