@@ -4,7 +4,6 @@ import datetime as dt
 
 import pytest
 from conftest import rows
-from pyspark.sql import functions as F
 
 from claimloom.plans import economics, facts, scope
 
