@@ -139,6 +139,8 @@ RESULTS = [
 
 def clean(docs: DataFrame) -> DataFrame:
     """The documents that are kept, without their failing lines; the columns of the input."""
-    judged = judge(docs.withColumn("__n_chars", F.col("n_chars"))).where("kept")
-    n_chars = F.when(F.col("cleaned") == F.col("text"), F.col("__n_chars")).otherwise(F.length("cleaned"))
-    return judged.withColumn("n_chars", n_chars.cast("long")).withColumn("text", F.col("cleaned")).select(*docs.columns)
+    judged = judge(docs.withColumn("__n_chars", F.col("n_chars")))
+    # A generator, not a filter: the optimizer would copy the rules into a filter below every step of the judgement.
+    kept = judged.withColumn("__kept", F.explode(F.when(F.col("kept"), F.array(F.lit(True)))))
+    n_chars = F.when(F.col("n_lost_words") == 0, F.col("__n_chars")).otherwise(F.length("cleaned"))
+    return kept.withColumn("n_chars", n_chars.cast("long")).withColumn("text", F.col("cleaned")).select(*docs.columns)

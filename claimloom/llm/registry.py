@@ -5,8 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm import chat, mixing, quality
-from claimloom.llm.shared import table
+from claimloom.llm import bpe, chat, language, mixing, quality, token_files
+from claimloom.llm.shared import new_folder, table, written
+
+
+def vocabulary(name: str) -> str:
+    """The path of a public vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +38,20 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "source", "size", "source_size", "target", "taken", "first_slot")
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "token-files")
+    docs = table(spark, sf_dir, "documents")
+    shards = written(token_files.write(docs, folder, vocabulary("byte_bpe_50k.json"), 50257, 0), "token-shards")
+    return token_files.read(shards, folder)
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    told = docs.withColumn("held_out", language.held_out())
+    predicted = language.predict(told, language.samples(docs), ("doc_id", "held_out"))
+    return predicted.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.judge(docs).select(
@@ -43,8 +68,11 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_bpe_encoding": op1_bpe_encoding,
     "op2_chat_formatting": op2_chat_formatting,
     "op6_source_mixing": op6_source_mixing,
+    "op7_token_files": op7_token_files,
+    "op8_language_id": op8_language_id,
     "op9_quality_rules": op9_quality_rules,
 }
 
