@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm import bpe, chat, language, mixing, quality, token_files
+from claimloom.llm import bpe, chat, dartminhash, hnsw, language, licenses, mixing, quality, token_files
 from claimloom.llm.shared import new_folder, table, written
 
 
@@ -33,6 +33,21 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_chats(given.unionByName(own)))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = licenses.scan(table(spark, sf_dir, "documents"))
+    return scanned.withColumn("n_blocks", F.size("blocks").cast("long")).drop("blocks")
+
+
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = dartminhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "class_id", "class_size", "keeps")
+
+
+def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return hnsw.nearest(vectors, vectors.where("vec_id % 100 = 0"), 10)
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix(docs).select("doc_id", "source", "size", "source_size", "target", "taken", "first_slot")
@@ -70,6 +85,9 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_bpe_encoding": op1_bpe_encoding,
     "op2_chat_formatting": op2_chat_formatting,
+    "op3_license_scan": op3_license_scan,
+    "op4_near_duplicates": op4_near_duplicates,
+    "op5_nearest_neighbours": op5_nearest_neighbours,
     "op6_source_mixing": op6_source_mixing,
     "op7_token_files": op7_token_files,
     "op8_language_id": op8_language_id,
