@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm import bpe, chat, dartminhash, hnsw, language, licenses, mixing, quality, token_files
+from claimloom.llm import bpe, chat, dartminhash, hnsw, language, licenses, line_dedup, mixing, quality, token_files
 from claimloom.llm.shared import new_folder, table, written
 
 
@@ -82,6 +82,17 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = line_dedup.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select(
+        "doc_id",
+        "n_lines",
+        "n_dropped",
+        F.length("cleaned").cast("long").alias("kept_chars"),
+        F.sha2(F.col("cleaned"), 256).alias("kept_sha256"),
+    )
+
+
 QUERIES = {
     "op1_bpe_encoding": op1_bpe_encoding,
     "op2_chat_formatting": op2_chat_formatting,
@@ -92,6 +103,7 @@ QUERIES = {
     "op7_token_files": op7_token_files,
     "op8_language_id": op8_language_id,
     "op9_quality_rules": op9_quality_rules,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 
