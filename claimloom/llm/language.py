@@ -29,7 +29,7 @@ SAMPLE_CHARS = 24_000
 SAMPLE_DOCUMENTS = 64
 """Documents that the characters of a language are taken from, evenly."""
 SYMBOLS = 96
-"""Most characters of the alphabet, by frequency in the samples; all others end a phrase."""
+"""Most characters of the alphabet, by frequency in the samples; all others are phrases of their own."""
 STRETCH = 2048
 LANES = 8192
 """Stretches parsed side by side."""
@@ -119,13 +119,15 @@ class Languages:
     def _table(self, symbols: np.ndarray) -> np.ndarray:
         """At state + symbol: the next state, negative (by the sign bit) where a phrase ends before the symbol.
 
-        States are given as offsets of their rows. After the end of a phrase the symbol starts the next one.
+        States are given as offsets of their rows. After the end of a phrase the symbol starts the next one; a symbol
+        that the sample does not have is a phrase of its own, for which the last row stands.
         """
         moves = suffix_automaton([int(s) for s in symbols if s])
-        table = np.zeros((len(moves), self.width), np.int32)
+        alone = len(moves)
+        table = np.full((alone + 1, self.width), alone * self.width, np.int32)
         for c, to in moves[0].items():
             table[:, c] = to * self.width
-        table |= np.int32(-NEXT - 1)
+        table[1:] |= np.int32(-NEXT - 1)
         for state, row in enumerate(moves):
             for c, to in row.items():
                 table[state, c] = to * self.width
