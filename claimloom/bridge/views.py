@@ -1,7 +1,8 @@
 """Raw text tables derived from the test data, whole tables in, faults seeded by key.
 
 ``lineitem`` plays the claims, reversals and price history, ``orders`` the lookups, ``supplier`` the pharmacies; the
-terms of the partners, who are order priorities, are fixed. ``oracle.py`` states the same views in SQL.
+partners are the order priorities and the market segments of the customers. Nothing is left out: what must not match is
+made faulty. ``oracle.py`` states the same views in SQL.
 """
 
 from __future__ import annotations
@@ -13,28 +14,22 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimloom.operators.joins import attach
-from claimloom.sources.tables import spread
-
-# Terms of the four named order priorities; the fifth stands for "no partner".
-PARTNER_TERMS = {
-    "1-URGENT": ("100", None),
-    "2-HIGH": (None, "50.0"),
-    "3-MEDIUM": (None, "20"),
-    "5-LOW": ("0", None),
-}
+
+# Terms as they arrive, by the first character of a partner's name; others have none.
+FLAT_FEES = {"1": "100", "5": "0", "A": "1.7", "B": " ", "H": "none"}
+FEE_SHARES = {"2": "50.0", "3": "20", "F": "n/a", "H": "12.5"}
 NO_PARTNER = "4-NOT SPECIFIED"
 PIVOT_COLUMNS = {
     "1-URGENT": "p1_urgent",
     "2-HIGH": "p2_high",
     "3-MEDIUM": "p3_medium",
-    "5-LOW": "p5_low",
     "direct": "direct",
     "unknown": "unknown",
 }
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _every(key: str, n: int) -> Column:
@@ -66,7 +61,7 @@ def claims(lineitem: DataFrame) -> DataFrame:
         F.when(_every("l_partkey", 97), "one hundred").otherwise(_text(F.col("l_extendedprice"))).alias("price"),
         _text(F.when(_every("l_partkey", 89), -quantity).otherwise(quantity)).alias("quantity"),
         _cents_text(F.col("l_extendedprice") * F.col("l_tax")).alias("pbm_fee"),
-        F.when(_every("l_orderkey", 83), "2026-13-45T99:99:99")
+        F.when(_every("l_orderkey", 83), "2025-02-31T27:61:00")
         .otherwise(_text(F.col("l_shipdate")))
         .alias("timestamp"),
         F.lit("lineitem").alias("_source_file"),
@@ -89,7 +84,7 @@ def lookups(orders: DataFrame) -> DataFrame:
     return orders.select(
         order.alias("id"),
         F.when(F.col("o_orderstatus") == "F", F.concat(order, F.lit("-1"))).alias("claim_id"),
-        F.when(_every("o_orderkey", 107), "").otherwise(_code(F.col("o_custkey") % 2000)).alias("ndc"),
+        F.when(_every("o_orderkey", 107), "").otherwise(_code(F.col("o_custkey"))).alias("ndc"),
         F.when(F.col("o_orderpriority") != NO_PARTNER, F.col("o_orderpriority")).alias("partner"),
         F.when(_every("o_orderkey", 113), " ").otherwise(channel.otherwise(" APP ")).alias("channel"),
         F.when(_every("o_orderkey", 109), "not-a-date").otherwise(_text(F.col("o_orderdate"))).alias("timestamp"),
@@ -98,38 +93,41 @@ def lookups(orders: DataFrame) -> DataFrame:
 
 
 def pharmacies(supplier: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
-    """Nine of ten suppliers; some have a blank chain, some a second line under another name."""
-    places = attach(nation, region.withColumnRenamed("r_regionkey", "n_regionkey"), "n_regionkey", "inner")
-    sites = attach(
-        supplier.where(~_every("s_suppkey", 10)),
-        places.withColumnRenamed("n_nationkey", "s_nationkey"),
-        "s_nationkey",
-        "inner",
-    )
+    """Suppliers; every tenth has a blank npi, some have a blank chain, some a second line under another name."""
+    regions = region.withColumnRenamed("r_regionkey", "n_regionkey")
+    places = attach(nation, regions, "n_regionkey", "inner", reference=True)
+    by_nation = places.withColumnRenamed("n_nationkey", "s_nationkey")
+    sites = attach(supplier, by_nation, "s_nationkey", "inner", reference=True)
     first = F.when(_every("s_suppkey", 17), " ").otherwise(F.col("r_name"))
     lines = F.when(_every("s_suppkey", 7), F.array(first, F.col("n_name"))).otherwise(F.array(first))
     return sites.select(
-        _text(F.col("s_suppkey")).alias("npi"), F.explode(lines).alias("chain"), F.lit("supplier").alias("_source_file")
+        F.when(_every("s_suppkey", 10), "  ").otherwise(_text(F.col("s_suppkey"))).alias("npi"),
+        F.explode(lines).alias("chain"),
+        F.lit("supplier").alias("_source_file"),
     )
 
 
-def partners(spark: SparkSession) -> DataFrame:
-    """The fixed terms as the four rows of a reference file."""
+def partners(orders: DataFrame, customer: DataFrame) -> DataFrame:
+    """Every order priority and every market segment, with terms that are flat, shares, blank, unreadable or missing."""
+    names = orders.select(F.col("o_orderpriority").alias("partner")).union(customer.select("c_mktsegment")).distinct()
 
-    def quoted(text: str | None) -> str:
-        return "null" if text is None else f"'{text}'"
+    def by_initial(terms: Mapping[str, str]) -> Column:
+        return F.create_map(*(F.lit(x) for pair in terms.items() for x in pair))[F.left("partner", F.lit(1))]
 
-    rows = ", ".join(f"({quoted(p)}, {quoted(flat)}, {quoted(share)})" for p, (flat, share) in PARTNER_TERMS.items())
-    return spark.sql(
-        "SELECT partner, CAST(fee_cents AS string) AS fee_cents, CAST(fee_percentage AS string) AS fee_percentage, "
-        f"'terms' AS _source_file FROM VALUES {rows} AS t(partner, fee_cents, fee_percentage)"
+    return names.select(
+        "partner",
+        by_initial(FLAT_FEES).alias("fee_cents"),
+        by_initial(FEE_SHARES).alias("fee_percentage"),
+        F.lit("terms").alias("_source_file"),
     )
 
 
 def price_history(lineitem: DataFrame, part: DataFrame) -> DataFrame:
     rate = F.round(F.col("l_extendedprice") / F.col("l_quantity") * 100) / 100
-    rows = lineitem.where("l_partkey % 10 <> 0").withColumnRenamed("l_partkey", "p_partkey")
-    named = attach(rows, part.select("p_partkey", "p_name"), "p_partkey")
+    """A dated price per line item; every tenth item has no readable date, some no readable rate."""
+    named = attach(
+        lineitem.withColumnRenamed("l_partkey", "p_partkey"), part.select("p_partkey", "p_name"), "p_partkey"
+    )
     key = F.col("p_partkey")
     unit = (
         F.when(_every("p_partkey", 41), "0").when(_every("p_partkey", 43), "n/a").otherwise(_text(rate))
@@ -138,7 +136,9 @@ def price_history(lineitem: DataFrame, part: DataFrame) -> DataFrame:
         _code(key).alias("ndc"),
         F.col("p_name").alias("ndc_description"),
         unit.alias("unit_price"),
-        F.date_format(F.trunc("l_shipdate", "month"), "MM/dd/yyyy").alias("effective_date"),
+        F.when(_every("p_partkey", 10), "on request")
+        .otherwise(F.date_format(F.trunc("l_shipdate", "month"), "MM/dd/yyyy"))
+        .alias("effective_date"),
         F.date_format(F.col("l_shipdate").cast("date"), "M/d/yyyy").alias("as_of_date"),
         F.when(key % 2 == 0, " ea").otherwise("Ml").alias("pricing_unit"),
         F.when(key % 3 == 0, "b").when(key % 3 == 1, "G").otherwise("").alias("classification"),
@@ -156,12 +156,13 @@ class RawTables(Mapping[str, DataFrame]):
 
         lineitem, orders, part = source("lineitem"), source("orders"), source("part")
         supplier, nation, region = source("supplier"), source("nation"), source("region")
+        customer = source("customer")
         self._build = {
             "claims": cache(lambda: claims(lineitem())),
             "reverts": cache(lambda: reverts(lineitem())),
             "lookups": cache(lambda: lookups(orders())),
             "pharmacies": cache(lambda: pharmacies(supplier(), nation(), region())),
-            "partners": cache(lambda: partners(spark)),
+            "partners": cache(lambda: partners(orders(), customer())),
             "price_history": cache(lambda: price_history(lineitem(), part())),
         }
 

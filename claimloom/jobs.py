@@ -15,14 +15,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimloom.operators.joins import input_bytes
 from claimloom.plans import checks
 from claimloom.plans.warehouse import Warehouse
 from claimloom.sources import landing, tables
 
-MONTHLY_FROM_BYTES = 1024**3
-"""Facts are partitioned by month when the raw claims are at least this large."""
-
 CONCURRENT_JOBS = 6
 """Independent tables of a layer are written side by side, so small ones fill the gaps the large ones leave."""
 
@@ -92,7 +88,17 @@ STAGES = [
             Table("dim_pharmacy", "marts"),
         ],
         _gate(
-            _only(checks.INTERMEDIATE, "reverts_scoped") | checks.DIMENSIONS | _only(checks.FACTS, "fct_claim")
+            _only(
+                checks.INTERMEDIATE,
+                "reverts_scoped",
+                "lookups_resolved",
+                "claim_cost",
+                "claim_attribution",
+                "claim_revert",
+                "claim_economics",
+            )
+            | checks.DIMENSIONS
+            | _only(checks.FACTS, "fct_claim")
         ),
     ),
     Stage(
@@ -110,6 +116,22 @@ STAGES = [
         _gate(checks.MARTS),
     ),
 ]
+# What each written table is built from, for selecting a table with all that depends on it.
+BUILT_FROM = {
+    "claims_judged": ["stg_pharmacies"],
+    "fct_claim": ["claims_judged", "stg_lookups", "stg_reverts", "stg_partners", "stg_price_history"],
+    "reverts_judged": ["claims_judged", "stg_reverts"],
+    "dim_drug": ["claims_judged", "stg_lookups", "stg_price_history"],
+    "dim_date": ["claims_judged", "stg_lookups", "stg_reverts"],
+    "dim_partner": ["stg_partners"],
+    "dim_pharmacy": ["stg_pharmacies"],
+    "fct_lookup": ["stg_lookups", "fct_claim"],
+    "dq_rejects": ["claims_judged", "reverts_judged", "stg_lookups"],
+    "mart_drug_economics": ["dim_drug", "fct_claim", "fct_lookup"],
+    "mart_partner_performance": ["dim_partner", "fct_claim", "fct_lookup"],
+    "mart_funnel_daily": ["fct_claim", "fct_lookup"],
+}
+
 # Written tables that carry everything another model has: reading them replaces building that model.
 STANDS_FOR = {"fct_claim": ["claim_outcome"]}
 
@@ -152,25 +174,28 @@ def build(
 ) -> Warehouse:
     """Build the warehouse from the landed tables under ``root``.
 
-    ``select``: only these tables, layers or stages; other tables are read from ``reuse``, an earlier root, when it is
-    given, else built as part of what needs them. ``allow``: checks that may fail without stopping the build.
+    ``select``: only these tables, layers or stages, with all that depends on them if the name ends in ``+``; other
+    tables are read from ``reuse``, an earlier root, when it is given, else built as part of what needs them.
+    ``allow``: checks that may fail without stopping the build. A stage's tables get their catalog names when its
+    checks have passed, so a failed build leaves readers with the tables of the last good one.
     """
     opened = _together([lambda n=n: tables.open_table(spark, root, "raw", n) for n in RAW])
     wh = Warehouse(dict(zip(RAW, opened)))
-    size = input_bytes(wh.raw["claims"])
-    monthly = size is None or size >= MONTHLY_FROM_BYTES
+    wanted = selected(select)
     for stage in STAGES:
-        chosen = [t for t in stage.tables if select is None or {t.name, t.layer, stage.name} & set(select)]
+        chosen = [t for t in stage.tables if t.name in wanted]
         for t in stage.tables:
             if t not in chosen and reuse is not None:
                 _put(wh, t.name, tables.open_table(spark, reuse, t.layer, t.name))
         if not chosen:
             continue
-        _write(wh, chosen, root, monthly)
+        written = _write(wh, chosen, root)
         if run_checks:
             failed = {c: n for c, n in violations(_chosen_checks(stage, wh, chosen)).items() if c not in allow}
             if failed:
                 raise CheckFailed(stage.name, failed)
+        for t, table in zip(chosen, written):
+            tables.register(table, root, t.layer, t.name, partitioned=t.month_of is not None)
     for view in INTERMEDIATE_VIEWS:
         getattr(wh, view).createOrReplaceTempView(view)
     return wh
@@ -187,16 +212,33 @@ def _chosen_checks(stage: Stage, wh: Warehouse, chosen: list[Table]) -> list[Dat
     return checks.table_checks(wh, {t: c for group in checks.ALL for t, c in group.items() if t in names})
 
 
-def _write(wh: Warehouse, chosen: list[Table], root: str, monthly: bool) -> None:
+def selected(select: Collection[str] | None) -> set[str]:
+    """The names of the tables that a selection asks for."""
+    every = [(t, stage) for stage in STAGES for t in stage.tables]
+    if select is None:
+        return {t.name for t, _ in every}
+    known = {n for t, stage in every for n in (t.name, t.layer, stage.name)}
+    if unknown := {s.removesuffix("+") for s in select} - known:
+        raise ValueError(f"nothing is called {sorted(unknown)}")
+    found = {t.name for t, stage in every if {t.name, t.layer, stage.name} & {s.removesuffix("+") for s in select}}
+    grow = {t.name for t, stage in every for s in select if s.endswith("+") and s[:-1] in (t.name, t.layer, stage.name)}
+    while grow:
+        found |= grow
+        grow = {t for t, sources in BUILT_FROM.items() if t not in found and set(sources) & grow}
+    return found
+
+
+def _write(wh: Warehouse, chosen: list[Table], root: str) -> list[DataFrame]:
     # Plans first, in one thread; only the writing runs side by side.
-    plans = [(t, getattr(wh, t.name), t.month_of if monthly else None) for t in chosen]
-    written = _together([lambda p=p: tables.write_table(p[1], root, p[0].layer, p[0].name, p[2]) for p in plans])
-    for (t, _, month), table in zip(plans, written):
-        tables.register(table, root, t.layer, t.name, partitioned=month is not None)
-        _put(wh, t.name, table.drop("event_month"))
+    plans = [(t, getattr(wh, t.name)) for t in chosen]
+    written = _together([lambda p=p: tables.write_table(p[1], root, p[0].layer, p[0].name, p[0].month_of) for p in plans])
+    for (t, _), table in zip(plans, written):
+        _put(wh, t.name, table)
+    return written
 
 
 def _put(wh: Warehouse, name: str, table: DataFrame) -> None:
+    table = table.drop("event_month")  # the folder name of a partitioned fact, not a column of the model
     wh.put(name, table)
     for other in STANDS_FOR.get(name, []):
         wh.put(other, table)

@@ -32,7 +32,7 @@ def unreferenced(child: DataFrame, column: str, parent: DataFrame, field: str) -
     """Child values without a parent row; NULL is not judged here."""
     values = child.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n_records"))
     known = parent.where(F.col(field).isNotNull()).select(F.col(field).alias(column)).distinct()
-    return attach(values, known, column, "left_anti", many_is_unique=True)
+    return attach(values, known, column, "left_anti")
 
 
 def violation_count(check: str, violations: DataFrame) -> DataFrame:

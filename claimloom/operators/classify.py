@@ -42,6 +42,5 @@ def with_occurrences(df: DataFrame, key: str, out: str = "id_occurrences") -> Da
     """
     # Cleaned ids are never empty, so the empty string stands for "no id" and NULL rows are counted as well.
     keyed = df.withColumn("__id", F.coalesce(F.col(key), F.lit("")))
-    ids = keyed.select("__id")
-    counted = attach(keyed, repeated_ids(ids, "__id", out), "__id", "left", keys_in=ids)
+    counted = attach(keyed, repeated_ids(keyed.select("__id"), "__id", out), "__id")
     return counted.withColumn(out, F.coalesce(F.col(out), F.lit(1).cast("bigint"))).drop("__id")

@@ -1,73 +1,35 @@
-"""Many-to-one joins that hold up when one key has a large share of the rows.
+"""Many-to-one joins, one plan per role of the unique side.
 
-``attach(many, one, on)`` joins a table whose rows are unique per key to one whose rows are not. Which plan it
-declares depends on one check, the size of the files the unique side is read from:
+``attach(many, one, on)`` joins a table whose rows are unique per key to one whose rows are not. The caller says what
+the unique side is, so the plan does not depend on how large a day's files are:
 
-* small: broadcast the unique side, ``many`` is not shuffled at all;
-* otherwise: shuffle join. A first pass over the key columns looks for frequent keys with a bounded frequent-items
-  sketch. If there are any, or many rows without a key, those rows are spread over several slices and the unique side
-  is repeated once per slice, for those keys only.
+* a reference table (``reference=True``): broadcast, ``many`` is not shuffled. The query fails, with a message, if the
+  table really has more than REFERENCE_ROWS rows;
+* anything else: a sort-merge join on the key. Adaptive execution splits a frequent key's partition. It cannot help
+  where a left join keeps rows without a key, which would all meet in one task, so those are spread over many.
 
-The sketch steers where rows go, never which rows are kept. Its short result is fixed before the join is declared, so
-that both sides of the join use the same slices; a sketch evaluated once per side could differ between the two.
+Declaring a join starts no job.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_BYTES = 32 * 1024 * 1024
-"""Largest total input (file bytes times ``spark.sql.sources.fileCompressionFactor``) of a broadcast side."""
+REFERENCE_ROWS = 1_000_000
+"""Most rows of a table that is declared a reference table."""
 
-SLICES = 2000
-"""Parts the whole input is thought to be cut into; a key with a larger share than one part is spread."""
+SPREAD = 1000
+"""Parts over which rows without a key are spread."""
 
-SKETCH_ITEMS = 16384
-"""Items per sketch: any key with more than about 3.5 / 16384 of the rows is found, well below one part in 2000."""
 
-SKETCH_GROUPS = 64
-"""Sketches are merged in this many groups before the last merge."""
-
-
-def input_bytes(df: DataFrame) -> int | None:
-    """Total size of the relations a DataFrame reads, or None when Spark does not know it."""
-    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
-    sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
-    total = sum(sizes)
-    return None if total >= 2**62 else total
-
-
-def is_small(df: DataFrame, limit: int | None = None) -> bool:
-    size = input_bytes(df)
-    return size is not None and size <= (BROADCAST_BYTES if limit is None else limit)
-
-
-def frequent_keys(df: DataFrame, key_hash: Column) -> tuple[dict[int, int], bool]:
-    """The slices of each key with more than 1/SLICES of the rows, and whether so many rows have no key.
-
-    Runs a job over the key columns. At most SLICES keys can have such a share, so the result is short.
-    """
-    hashed = df.select(key_hash.alias("__h"), F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("__g"))
-    sketch = F.expr(f"approx_top_k_accumulate(__h, {SKETCH_ITEMS}) FILTER (WHERE __h IS NOT NULL)")
-    per_group = hashed.groupBy("__g").agg(
-        sketch.alias("s"), F.count("*").alias("n"), F.count_if(F.col("__h").isNull()).alias("without")
-    )
-    # Grouped by a constant: the merge of sketches does not take the empty buffer a global aggregate starts with.
-    merged = per_group.groupBy(F.lit("all")).agg(
-        F.expr(f"approx_top_k_combine(s, {SKETCH_ITEMS})").alias("s"),
-        F.sum("n").alias("n"),
-        F.sum("without").alias("without"),
-    )
-    rows = merged.select(F.expr(f"approx_top_k_estimate(s, {SLICES})").alias("top"), "n", "without").collect()
-    if not rows:
-        return {}, False
-    top, n, without = rows[0]
-    slices = {t["item"]: math.ceil(t["count"] * SLICES / n) for t in top if t["count"] * SLICES > n}
-    return slices, without * SLICES > n
+def guarded(reference: DataFrame) -> DataFrame:
+    """The reference table, to be broadcast; fails when it is read if it has too many rows."""
+    n = reference.agg(F.count("*")).scalar()
+    too_many = F.raise_error(F.lit(f"a reference table has more than {REFERENCE_ROWS} rows"))
+    return F.broadcast(reference.where(F.when(n <= REFERENCE_ROWS, F.lit(True)).otherwise(too_many.cast("boolean"))))
 
 
 def attach(
@@ -76,48 +38,19 @@ def attach(
     on: str | Sequence[str],
     how: str = "left",
     *,
-    many_is_unique: bool = False,
-    keys_in: DataFrame | None = None,
-    broadcast_limit: int | None = None,
+    reference: bool = False,
 ) -> DataFrame:
-    """Join ``one`` (unique per ``on``) to ``many``. ``how``: left, inner, left_semi or left_anti.
-
-    ``many_is_unique``: both sides are unique per key, so no key can be frequent. ``keys_in``: where to look for
-    frequent keys when ``many`` itself is costly to compute, for example the table its keys come from.
-    """
+    """Join ``one`` (unique per ``on``) to ``many``. ``how``: left, inner, left_semi or left_anti."""
     keys = [on] if isinstance(on, str) else list(on)
-    if is_small(one, broadcast_limit):
-        return many.join(F.broadcast(one), keys, how)
-    if many_is_unique:
-        return many.join(one, keys, how)
-    return _sliced_join(many, one, keys, how, many if keys_in is None else keys_in)
-
-
-def _sliced_join(many: DataFrame, one: DataFrame, keys: list[str], how: str, keys_in: DataFrame) -> DataFrame:
+    if reference:
+        return many.join(guarded(one), keys, how)
+    if how not in ("left", "left_anti"):
+        return many.join(one.hint("merge"), keys, how)
     has_key = F.lit(True)
     for k in keys:
         has_key = has_key & F.col(k).isNotNull()
-    key_hash = F.when(has_key, F.xxhash64(*keys))
-    slices, many_without_key = frequent_keys(keys_in.select(*keys), key_hash)
-    if not slices and not many_without_key:
-        return many.join(one, keys, how)
-    hot = F.broadcast(many.sparkSession.createDataFrame(list(slices.items()), "__h bigint, __slices int"))
-
-    # The slice of a row depends on its input partition only, so a recomputed task gives the same slices. Rows
-    # without a key match nothing; they are spread over all slices instead of meeting in one task.
-    of_row = F.when(F.col("__h").isNull(), F.lit(SLICES)).otherwise(F.col("__slices"))
-    place = F.pmod(F.xxhash64(F.spark_partition_id()), of_row)
-    sliced_many = (
-        many.withColumn("__h", key_hash)
-        .join(hot, "__h", "left")
-        .withColumn("__slice", F.coalesce(place, F.lit(0)).cast("int"))
-        .drop("__h", "__slices")
-    )
-    sliced_one = (
-        one.where(has_key)
-        .withColumn("__h", key_hash)
-        .join(hot, "__h", "left")
-        .withColumn("__slice", F.explode(F.sequence(F.lit(0), F.coalesce("__slices", F.lit(1)) - 1)))
-        .drop("__h", "__slices")
-    )
-    return sliced_many.join(sliced_one, [*keys, "__slice"], how).drop("__slice")
+    # Where a row goes depends on its input partition only, so a recomputed task sends it to the same place. Rows
+    # without a key match nothing wherever they are.
+    part = F.when(has_key, F.lit(0)).otherwise(F.pmod(F.hash(F.spark_partition_id()), F.lit(SPREAD)))
+    spread = many.withColumn("__part", part)
+    return spread.join(one.withColumn("__part", F.lit(0)).hint("merge"), [*keys, "__part"], how).drop("__part")

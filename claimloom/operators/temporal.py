@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimloom.operators.joins import attach, is_small
+from claimloom.operators.joins import attach
 
 
 def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -28,11 +28,6 @@ def earliest_with_count(
     return first.select(*keys, *(F.col(f"__first.{c}").alias(c) for c in fields), count_as)
 
 
-def with_validity(history: DataFrame, keys: Sequence[str], since: str, until: str) -> DataFrame:
-    """Turn dated versions, unique per key and date, into half-open ranges; the last range has no end."""
-    return history.withColumn(until, F.lead(since).over(Window.partitionBy(*keys).orderBy(since)))
-
-
 def asof_left_join(
     facts: DataFrame,
     history: DataFrame,
@@ -42,51 +37,23 @@ def asof_left_join(
     payload: Sequence[str],
     *,
     bucket: Callable[[str], Column] | None = None,
-    form: str = "auto",
 ) -> DataFrame:
     """For each fact the history row of its key with the greatest ``since <= at``, inclusive; NULLs when none.
 
     ``history`` is unique per (key, since). Columns added: ``since`` and ``payload``.
 
-    * ``ranges``: history as validity ranges, broadcast, range residual on the equi-join. For short histories only.
-    * ``timeline``: works on the distinct (key, at) pairs, see :func:`_asof_on_timeline`.
-    * ``auto``: ranges when the history is small enough to broadcast, else timeline.
-    """
-    if form == "auto":
-        form = "ranges" if is_small(history) else "timeline"
-    versions = history.select(key, since, *payload)
-    if form == "ranges":
-        return _asof_on_ranges(facts, versions, key, at, since)
-    return _asof_on_timeline(facts, versions, key, at, since, payload, bucket)
-
-
-def _asof_on_ranges(facts: DataFrame, versions: DataFrame, key: str, at: str, since: str) -> DataFrame:
-    ranges = with_validity(versions, [key], since, "__until").withColumnRenamed(key, "__key")
-    in_force = (F.col(key) == F.col("__key")) & (F.col(at) >= F.col(since))
-    in_force = in_force & (F.col("__until").isNull() | (F.col(at) < F.col("__until")))
-    return facts.join(F.broadcast(ranges), in_force, "left").drop("__key", "__until")
-
-
-def _asof_on_timeline(
-    facts: DataFrame,
-    versions: DataFrame,
-    key: str,
-    at: str,
-    since: str,
-    payload: Sequence[str],
-    bucket: Callable[[str], Column] | None,
-) -> DataFrame:
-    """Resolve each distinct (key, at) pair once, then attach the answers to the facts.
+Resolve each distinct (key, at) pair once, then attach the answers to the facts.
 
     Pairs are made distinct before the shuffle, so a hot key shrinks to its distinct instants. Pairs and versions of
     a key are read in time order and the last version is carried forward. With ``bucket`` a key's time line is cut
     into buckets: within a bucket as before, and where a bucket has no earlier version, the last one of the buckets
     before it, found over one row per key and bucket.
     """
+    history = history.select(key, since, *payload)
     bucketed = bucket or (lambda _: F.lit(0))
     mark = F.struct(F.col(since).alias("s"), *(F.col(c).alias(f"p{i}") for i, c in enumerate(payload)))
     probes = facts.where(F.col(key).isNotNull() & F.col(at).isNotNull()).select(key, F.col(at).alias("__t")).distinct()
-    marks = versions.where(F.col(key).isNotNull() & F.col(since).isNotNull()).select(
+    marks = history.where(F.col(key).isNotNull() & F.col(since).isNotNull()).select(
         key, F.col(since).alias("__t"), mark.alias("__mark")
     )
     mark_type = marks.schema["__mark"].dataType

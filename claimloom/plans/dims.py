@@ -45,7 +45,7 @@ def drug_dim(claims: DataFrame, lookups: DataFrame, prices: DataFrame) -> DataFr
         F.col("generic_unit_cost_usd").alias("latest_generic_unit_cost_usd"),
         F.col("effective_date").alias("latest_cost_effective_date"),
     )
-    return attach(observed, latest, "ndc", many_is_unique=True).select(
+    return attach(observed, latest, "ndc").select(
         "ndc",
         or_default("ndc_description", NO_DESCRIPTION).alias("ndc_description"),
         or_default("drug_class", "unknown").alias("drug_class"),
@@ -77,4 +77,4 @@ def revert_bounds(clean_reverts: DataFrame, analysable_claims: DataFrame) -> Dat
     per_claim = clean_reverts.groupBy("claim_id").agg(
         F.min("reverted_at").cast("date").alias("first"), F.max("reverted_at").cast("date").alias("last")
     )
-    return attach(per_claim, analysable_claims.select("claim_id"), "claim_id", "left_semi", many_is_unique=True)
+    return attach(per_claim, analysable_claims.select("claim_id"), "claim_id", "left_semi")

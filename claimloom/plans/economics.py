@@ -45,17 +45,19 @@ def first_reverts(reverts: DataFrame) -> DataFrame:
     return first.select("claim_id", "reverted_at", "revert_id", "revert_event_count")
 
 
-def with_cost(claims: DataFrame, prices: DataFrame, form: str = "auto") -> DataFrame:
+def with_cost(claims: DataFrame, prices: DataFrame) -> DataFrame:
     """Acquisition cost at the price in force on the fill date; NULL, not zero, when there is none.
 
     The unit rate is multiplied by the quantity first and rounded to cents after.
     """
-    priced = asof_left_join(claims, prices, "ndc", "filled_date", "effective_date", COST_ATTRIBUTES, form=form)
-    matched = F.col("unit_cost_usd").isNotNull()
-    return priced.withColumnRenamed("effective_date", "cost_effective_date").withColumns(
+    priced = asof_left_join(claims, prices, "ndc", "filled_date", "effective_date", COST_ATTRIBUTES)
+    # A cost beyond bigint cents is no cost we know: sums and the match flag then agree that it is missing.
+    cost = to_cents("unit_cost_usd * quantity")
+    matched = F.col("est_acquisition_cost_cents").isNotNull()
+    costed = priced.withColumn("est_acquisition_cost_cents", cost)
+    return costed.withColumnRenamed("effective_date", "cost_effective_date").withColumns(
         {
             "cost_basis": F.when(matched, F.lit("as_of_fill_date")).otherwise(F.lit("no_match")),
-            "est_acquisition_cost_cents": to_cents("unit_cost_usd * quantity"),
             "est_generic_cost_cents": to_cents("generic_unit_cost_usd * quantity"),
             "has_cost_match": matched,
         }
@@ -64,7 +66,7 @@ def with_cost(claims: DataFrame, prices: DataFrame, form: str = "auto") -> DataF
 
 def with_terms(df: DataFrame, terms: DataFrame) -> DataFrame:
     """Add the commercial terms of the partner; a partner without terms has the model ``none``."""
-    joined = attach(df, terms.select("partner", *TERMS), "partner")
+    joined = attach(df, terms.select("partner", *TERMS), "partner", reference=True)
     return joined.withColumn("fee_model", or_default("fee_model", "none"))
 
 
@@ -94,7 +96,6 @@ def fee_economics(claims: DataFrame, attributed: DataFrame, terms: DataFrame) ->
         claims.select("claim_id", "pbm_fee_cents"),
         attributed.select("claim_id", "partner"),
         "claim_id",
-        many_is_unique=True,
     ).withColumn("partner", or_default("partner", "direct"))
     return with_fee_split(with_terms(origin, terms)).select(
         "claim_id",

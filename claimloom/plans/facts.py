@@ -64,8 +64,8 @@ def claim_outcome(claims: DataFrame, attributed: DataFrame, terms: DataFrame, re
     """
     origin = attributed.select("claim_id", "partner", "channel", "attributing_lookup_id", "looked_up_at")
     reversal = reverted.select("claim_id", "reverted_at", "revert_id")
-    wide = attach(claims, origin, "claim_id", many_is_unique=True)
-    wide = attach(wide, reversal, "claim_id", many_is_unique=True)
+    wide = attach(claims, origin, "claim_id")
+    wide = attach(wide, reversal, "claim_id")
     wide = wide.withColumns(
         {"partner": or_default("partner", "direct"), "channel": or_default("channel", "direct")}
     )

@@ -13,11 +13,6 @@ def _where(condition: Column, measure: str) -> Column:
     return F.sum(F.when(condition, F.col(measure)))
 
 
-def exact_avg(measure: str) -> Column:
-    """Average of a rate, summed as a decimal: the same result however the rows are partitioned."""
-    return F.sum(F.col(measure).try_cast("decimal(28,8)")).cast("double") / F.count(measure)
-
-
 def _zero_for_null(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.fillna(0, subset=columns)
 
@@ -47,8 +42,8 @@ def partner_performance(partners: DataFrame, claim_facts: DataFrame, lookup_fact
         F.max("filled_date").alias("last_claim_date"),
     )
     terms = partners.withColumnRenamed("partner_name", "partner")
-    joined = attach(terms, by_claim, "partner", many_is_unique=True)
-    joined = attach(joined, by_lookup, "partner", many_is_unique=True)
+    joined = attach(terms, by_claim, "partner")
+    joined = attach(joined, by_lookup, "partner")
     rated = joined.withColumns(
         {
             "fee_retention": safe_ratio("net_retained_cents", "net_pbm_fee_cents"),
@@ -92,14 +87,14 @@ def drug_economics(drugs: DataFrame, claim_facts: DataFrame, lookup_facts: DataF
         _where(kept, "pharmacy_margin_cents").alias("net_pharmacy_margin_cents"),
         _where(F.col("is_reverted"), "retained_fee_cents").alias("revenue_at_risk_from_reversals_cents"),
         _where(kept, "generic_substitution_savings_cents").alias("generic_substitution_savings_cents"),
-        exact_avg("unit_cost_usd").alias("avg_unit_cost_usd"),
+        F.avg("unit_cost_usd").alias("avg_unit_cost_usd"),
         F.count_if(~F.col("has_cost_match")).alias("claims_without_cost"),
         F.count_distinct("pharmacy_npi").alias("distinct_pharmacies"),
         F.count_distinct("partner").alias("distinct_partners"),
     )
     items = drugs.select("ndc", "ndc_description", "drug_class", "is_otc", "is_in_nadac")
-    joined = attach(items, by_claim, "ndc", many_is_unique=True)
-    joined = attach(joined, by_lookup, "ndc", many_is_unique=True)
+    joined = attach(items, by_claim, "ndc")
+    joined = attach(joined, by_lookup, "ndc")
     rated = joined.withColumns(
         {
             "reversal_rate": safe_ratio("reverted_claims", "claims"),

@@ -11,15 +11,14 @@ UNKNOWN_PHARMACY = "unknown_npi"
 ORPHAN = "orphan_claim_id"
 
 
-def judge_claims(staged: DataFrame, pharmacies: DataFrame, npis: DataFrame | None = None) -> DataFrame:
+def judge_claims(staged: DataFrame, pharmacies: DataFrame) -> DataFrame:
     """Every staged claim with its chain and, on well-formed rows, the scope reason.
 
     This is the table the rest of the build reads: clean rows are the analysable claims, the others the quarantine.
-    ``npis``: the claims' npi column from a cheaper source, to look for frequent ones.
     """
     sites = pharmacies.select("npi", "chain")
     out_of_scope = F.col("dq_reject_reason").isNull() & F.col("chain").isNull()
-    return attach(staged, sites, "npi", keys_in=npis).withColumn(
+    return attach(staged, sites, "npi", reference=True).withColumn(
         "scope_exclusion_reason", F.when(out_of_scope, F.lit(UNKNOWN_PHARMACY))
     )
 

@@ -2,6 +2,9 @@
 
 Event files are JSON arrays. Such a file is read by one task, so parallelism comes from the number of files; landing
 writes Parquet once and everything downstream reads that.
+
+A damaged file stops the landing, with its name: JSON that cannot be read, a CSV row with more or fewer cells than the
+header, a CSV file whose header differs from the first one's. Values are never judged here.
 """
 
 from __future__ import annotations
@@ -44,25 +47,29 @@ def read_events(spark: SparkSession, source: str, directory: str) -> DataFrame:
     files = (
         spark.read.schema(event_schema(source))
         .option("multiLine", True)
+        .option("mode", "FAILFAST")
         .option("pathGlobFilter", "*.json")
         .json(directory)
     )
     return files.select(*EVENT_FIELDS[source], *lineage())
 
 
-def _read_csv(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
+def _read_csv(spark: SparkSession, path: str, columns: dict[str, str], pattern: str | None = None) -> DataFrame:
     # No schema on purpose: a CSV schema binds by position, these columns are taken by header name. A header that is
-    # not there fails at once.
-    rows = spark.read.option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    # not there fails at once. All cells are parsed, not only the wanted ones, so that a ragged row is noticed.
+    options = {"header": True, "quote": '"', "escape": '"', "mode": "FAILFAST", "columnPruning": False}
+    if pattern:
+        options["pathGlobFilter"] = pattern
+    rows = spark.read.options(enforceSchema=False, **options).csv(path)
     return rows.select(*(F.col(f"`{header}`").alias(name) for header, name in columns.items()), *lineage())
 
 
 def read_pharmacies(spark: SparkSession, path: str) -> DataFrame:
-    return _read_csv(spark, path, {c: c for c in PHARMACY_FIELDS})
+    return _read_csv(spark, path, {c: c for c in PHARMACY_FIELDS}, "*.csv")
 
 
 def read_partners(spark: SparkSession, path: str) -> DataFrame:
-    return _read_csv(spark, path, {c: c for c in PARTNER_FIELDS})
+    return _read_csv(spark, path, {c: c for c in PARTNER_FIELDS}, "*.csv")
 
 
 def read_price_history(spark: SparkSession, path: str) -> DataFrame:

@@ -5,28 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.operators.joins import input_bytes
 
 LAYERS = ["raw", "staging", "intermediate", "marts"]
 
 
-SPLIT_BYTES = 4 * 1024 * 1024
-"""Below this size one task is enough for a file."""
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Spread rows read from fewer files than there are cores, so that later steps use all cores.
-
-    A JSON array or a Parquet row group is read by one task; what follows it would stay in that task as well. Large
-    inputs consist of many files and are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = input_bytes(df)
-    if size is None or not SPLIT_BYTES <= size <= cores * 32 * SPLIT_BYTES or len(df.inputFiles()) >= cores:
-        return df
-    return df.repartition(cores)
-
-
 def path_of(root: str, layer: str, name: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{name}"
 
@@ -49,7 +31,7 @@ def write_table(df: DataFrame, root: str, layer: str, name: str, month_of: str |
 def write_counted(df: DataFrame, root: str, layer: str, name: str) -> int:
     """Overwrite a table and return its row count, counted by the same job that writes it."""
     seen = Observation()
-    spread(df).observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path_of(root, layer, name))
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path_of(root, layer, name))
     return seen.get["rows"]
 
 
@@ -64,8 +46,9 @@ def register(table: DataFrame, root: str, layer: str, name: str, partitioned: bo
     spark.sql(f"DROP TABLE IF EXISTS {layer}.{name}")
     path = path_of(root, layer, name)
     if partitioned:
-        # Found by listing the folders, so the partition column is not declared here.
-        spark.catalog.createTable(f"{layer}.{name}", path=path, source="parquet")
+        # With its columns declared, so that a fact without rows, which has no files, can be named as well.
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.schema)
+        spark.sql(f"CREATE TABLE {layer}.{name} ({columns}) USING parquet PARTITIONED BY (event_month) LOCATION '{path}'")
         spark.catalog.recoverPartitions(f"{layer}.{name}")
     else:
         spark.catalog.createTable(f"{layer}.{name}", path=path, source="parquet", schema=table.schema)

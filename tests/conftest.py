@@ -44,16 +44,6 @@ def frame(spark):
     return make
 
 
-@pytest.fixture(params=["broadcast", "shuffle"])
-def join_plan(request, monkeypatch):
-    """Run a test under both plans of a many-to-one join."""
-    from claimloom.operators import joins
-
-    if request.param == "shuffle":
-        monkeypatch.setattr(joins, "BROADCAST_BYTES", -1)
-    return request.param
-
-
 def rows(df, *columns):
     """Rows as sorted tuples."""
     picked = df.select(*columns) if columns else df

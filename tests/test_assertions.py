@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from claimloom.operators import assertions as q
 from claimloom.operators.reshape import pivot_sum, to_long, top, with_share_of_total
-from claimloom.plans import checks, reports, scenarios
+from claimloom.plans import checks, marts, reports, scenarios
 
 
 def test_keys(frame):
@@ -43,7 +43,7 @@ def test_split_and_net_checks_fire(frame):
 
 def test_reshape(frame):
     df = frame("r string, c string, v bigint", [("a", "x", 1), ("a", "x", 2), ("b", "y", 5), ("b", "other", 9)])
-    assert rows(pivot_sum(df, "r", "c", {"x": "col_x", "y": "col_y"}, "v")) == [("a", 3, None), ("b", None, 5)]
+    assert rows(pivot_sum(df, "r", "c", {"x": "col_x", "y": "col_y"}, "v")) == [("a", 3, None, None), ("b", None, 5, 9)]
     wide = frame("p string, m bigint, n bigint", [("a", 1, 2)])
     assert rows(to_long(wide, ["p"], ["m", "n"], "side", "cents")) == [("a", "m", 1), ("a", "n", 2)]
     assert [tuple(r) for r in top(df, [F.desc("v")], 2).collect()] == [("b", "other", 9), ("b", "y", 5)]
@@ -81,3 +81,20 @@ def test_scenarios_rerun_the_split(frame):
     # 0.05% of 20,000 dollars is 10 dollars: the flat partner still takes one of them, the other 80%.
     repriced = scenarios.reprice_band(facts, terms, 1_000_000, 0.0005)
     assert rows(repriced, "partner", "gain_cents") == [("direct", 0), ("flat", 200), ("share", 200 + 0 - 160)]
+
+
+def test_average_cost_takes_very_small_and_very_large_rates(frame):
+    facts = "ndc string, partner string, pharmacy_npi string, quantity double, unit_cost_usd double, is_reverted boolean, has_cost_match boolean, " + ", ".join(
+        f"{c} bigint"
+        for c in (
+            "net_claim_count net_price_cents net_retained_cents net_partner_fee_cents est_acquisition_cost_cents "
+            "pharmacy_margin_cents retained_fee_cents generic_substitution_savings_cents"
+        ).split()
+    )
+    rates = [4e-9, 1e21, 2.0, None]
+    claims = frame(facts, [("n", "p", "s", 1.0, r, False, r is not None, *[1] * 8) for r in rates])
+    drugs = frame("ndc string, ndc_description string, drug_class string, is_otc boolean, is_in_nadac boolean", [("n", "d", "brand", False, True)])
+    row = marts.drug_economics(drugs, claims, frame("ndc string", [("n",)])).first()
+    assert row.avg_unit_cost_usd == sum(r for r in rates if r is not None) / 3
+    tiny = marts.drug_economics(drugs, claims.where("unit_cost_usd < 1e-8"), frame("ndc string", [("n",)])).first()
+    assert tiny.avg_unit_cost_usd == 4e-9

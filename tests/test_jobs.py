@@ -6,6 +6,7 @@ import pytest
 from conftest import rows
 
 from claimloom import jobs
+from claimloom.plans import checks
 from claimloom.sources import landing, tables
 
 STAMP = "2026-05-{:02d}T10:00:00"
@@ -43,12 +44,11 @@ def paths(tmp_path):
     return where | {n: str(tmp_path / f) for n, f in [("pharmacies", "pharmacies.csv"), ("partners", "partners.csv"), ("price_history", "prices.csv")]}
 
 
-def test_land_and_build(spark, paths, tmp_path, monkeypatch):
+def test_land_and_build(spark, paths, tmp_path):
     root = str(tmp_path / "root")
     assert jobs.land(spark, paths, root) == {
         "claims": 34, "reverts": 3, "lookups": 22, "pharmacies": 1, "partners": 1, "price_history": 1,
     }
-    monkeypatch.setattr(jobs, "MONTHLY_FROM_BYTES", 0)
     wh = jobs.build(spark, root, allow=["rows.rejection_rate"])
     totals = spark.sql(
         "SELECT count(*) AS n, sum(net_claim_count) AS net, sum(net_price_cents) AS gmv, sum(net_retained_cents) AS kept, "
@@ -76,6 +76,8 @@ def test_land_and_build(spark, paths, tmp_path, monkeypatch):
     assert rows(again.mart_partner_performance) == rows(wh.mart_partner_performance)
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         tables.open_table(spark, other, "marts", "fct_claim")
+    assert again.fct_claim.columns == wh.fct_claim.columns
+    assert spark.table("marts.fct_claim").columns == [*wh.fct_claim.columns, "event_month"]
 
 
 def test_a_failing_check_stops_the_build(spark, paths, tmp_path):
@@ -87,6 +89,10 @@ def test_a_failing_check_stops_the_build(spark, paths, tmp_path):
         jobs.build(spark, root)
     assert stopped.value.violations == {"stg_partners.partner.unique": 1}
     assert not (tmp_path / "root" / "marts").exists()
+    # The bad table was written, but its name still leads to what was there before.
+    assert not spark.catalog.tableExists("staging.stg_partners") or root not in (
+        spark.sql("DESCRIBE EXTENDED staging.stg_partners").where("col_name = 'Location'").first().data_type
+    )
 
 
 def test_a_renamed_field_trips_the_rejection_rate(spark, paths, tmp_path):
@@ -105,3 +111,29 @@ def test_arguments():
         jobs.parse_args(["--root", "r"])
     args = jobs.parse_args(["--root", "r", "--skip-land", "--select", "marts", "fct_claim"])
     assert args.select == ["marts", "fct_claim"] and not args.skip_build
+
+
+def test_a_table_is_selected_with_what_depends_on_it():
+    assert jobs.selected(["dim_drug"]) == {"dim_drug"}
+    assert jobs.selected(["dim_drug+"]) == {"dim_drug", "mart_drug_economics"}
+    assert jobs.selected(["stg_partners+"]) == {
+        "stg_partners", "dim_partner", "fct_claim", "fct_lookup", "mart_drug_economics", "mart_partner_performance",
+        "mart_funnel_daily",
+    }
+    assert jobs.selected(["marts"]) > {"fct_claim", "dq_rejects"} and "stg_claims" not in jobs.selected(None)
+    with pytest.raises(ValueError):
+        jobs.selected(["fct_clam"])
+
+
+def test_everything_declared_is_checked(spark, paths, tmp_path, monkeypatch):
+    root = str(tmp_path / "root")
+    jobs.land(spark, paths, root)
+    ran = set()
+
+    def note(results):
+        ran.update(r.check_name.split(".")[0] for r in checks.union(results).collect())
+        return {}
+
+    monkeypatch.setattr(jobs, "violations", note)
+    jobs.build(spark, root)
+    assert ran >= {t for layer in checks.ALL for t in layer}

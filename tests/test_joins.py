@@ -1,11 +1,11 @@
-"""The many-to-one join under a hot key, rows without key and both plans."""
+"""The many-to-one join under a hot key, rows without key and both roles of the unique side."""
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from claimloom.operators import joins
-from claimloom.operators.joins import attach, frequent_keys, input_bytes, is_small
+from claimloom.operators.joins import attach
 
 
 def skewed(spark, n=30_000):
@@ -20,96 +20,66 @@ def unique_side(spark):
     )
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("reference", [True, False])
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
-def test_sliced_join_equals_plain_join(spark, how):
+def test_equals_plain_join(spark, how, reference):
     many, one = skewed(spark), unique_side(spark)
     expected = many.join(one, "k", how)
-    got = attach(many, one, "k", how, broadcast_limit=-1)
+    got = attach(many, one, "k", how, reference=reference)
     assert got.columns == expected.columns
     assert got.count() == expected.count()
     assert got.exceptAll(expected).count() == 0
 
 
-def test_hot_key_and_rows_without_key_are_spread(spark, monkeypatch):
-    monkeypatch.setattr(joins, "SLICES", 16)
-    many = skewed(spark)
-    joined = attach(many, unique_side(spark), "k", "left", broadcast_limit=-1)
+@pytest.mark.parametrize("how", ["left", "left_anti"])
+def test_rows_without_key_are_spread(spark, how):
+    none = spark.range(0, 8000, 1, 8).select("id", F.lit(None).cast("string").alias("k"))
     spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.shuffle.partitions", "16")
     try:
-        fresh = joined.select("*", F.spark_partition_id().alias("p"))
-        sizes = fresh.groupBy("p").count().orderBy(F.desc("count")).collect()
+        joined = attach(none, unique_side(spark), "k", how).select("*", F.spark_partition_id().alias("p"))
+        sizes = [r["count"] for r in joined.groupBy("p").count().collect()]
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
-        spark.conf.set("spark.sql.shuffle.partitions", "4")
-    assert sum(r["count"] for r in sizes) == 30_000
-    # Without slices the hot key and the missing key would each put a third of the rows in one partition.
-    assert sizes[0]["count"] < 30_000 / 4
+    assert sum(sizes) == 8000 and max(sizes) <= 6000 and len(sizes) > 1
 
 
-def test_frequent_keys_are_bounded_and_sized(spark):
-    hot, many_without = frequent_keys(skewed(spark), F.when(F.col("k").isNotNull(), F.xxhash64("k")))
-    assert hot[spark.sql("select xxhash64('hot')").first()[0]] > 600
-    assert many_without
-    assert len(hot) <= joins.SLICES and sum(hot.values()) <= 2 * joins.SLICES
+def test_the_plan_follows_the_role_not_the_size(spark):
+    many, one = skewed(spark), unique_side(spark).limit(1)
+    assert "BroadcastHashJoin" in plan_of(attach(many, one, "k", reference=True))
+    shuffled = plan_of(attach(many, one, "k"))
+    assert "SortMergeJoin" in shuffled and "BroadcastHashJoin" not in shuffled
 
 
-def test_frequent_keys_are_found_among_more_keys_than_the_sketch_holds(spark):
-    ids = spark.range(0, 200_000, 1, 8).select(F.when(F.col("id") % 50 == 0, -1).otherwise(F.col("id")).alias("k"))
-    hot, many_without = frequent_keys(ids, F.col("k"))
-    assert set(hot) == {-1} and not many_without
-    assert hot[-1] >= joins.SLICES // 50
+def test_a_reference_table_that_is_none_fails(spark, monkeypatch):
+    monkeypatch.setattr(joins, "REFERENCE_ROWS", 100)
+    joined = attach(skewed(spark), unique_side(spark), "k", reference=True)
+    with pytest.raises(Exception, match="reference table has more than 100 rows"):
+        joined.count()
 
 
-def test_no_slices_where_no_key_is_frequent(spark):
-    even = spark.range(0, 20_000, 1, 4).select(F.col("id").alias("k"))
-    assert "__slice" not in plan_of(attach(even, even.withColumn("v", F.lit(1)), "k", broadcast_limit=-1))
+def test_declaring_a_join_starts_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup(None))
+    many, one = skewed(spark), unique_side(spark)
+    attach(many, one, "k")
+    attach(many, one, "k", reference=True)
+    assert set(tracker.getJobIdsForGroup(None)) == before
 
 
 def test_empty_input(spark):
     empty = skewed(spark).where("false")
-    assert frequent_keys(empty, F.xxhash64("k")) == ({}, False)
-    assert attach(empty, unique_side(spark), "k", broadcast_limit=-1).count() == 0
-
-
-def test_no_row_has_a_key(spark):
-    none = spark.range(0, 100, 1, 4).select("id", F.lit(None).cast("string").alias("k"))
-    assert frequent_keys(none, F.when(F.col("k").isNotNull(), F.xxhash64("k"))) == ({}, True)
-    joined = attach(none, unique_side(spark), "k", broadcast_limit=-1)
-    assert joined.count() == 100 and joined.where("v is not null").count() == 0
-
-
-def test_frequent_keys_may_come_from_another_frame(spark):
-    many, one = skewed(spark), unique_side(spark)
-    got = attach(many, one, "k", broadcast_limit=-1, keys_in=many.where("id < 3000"))
-    assert got.exceptAll(many.join(one, "k", "left")).count() == 0 and got.count() == 30_000
+    assert attach(empty, unique_side(spark), "k").count() == 0
+    assert attach(skewed(spark), unique_side(spark).where("false"), "k").where("v is not null").count() == 0
 
 
 def test_composite_key(spark):
     many = skewed(spark).withColumn("d", F.col("id") % 2)
     one = unique_side(spark).withColumn("d", F.lit(0).cast("bigint"))
-    got = attach(many, one, ["k", "d"], broadcast_limit=-1)
+    got = attach(many, one, ["k", "d"])
     assert rows(got.groupBy().agg(F.count("v"), F.sum("v"))) == rows(
         many.join(one, ["k", "d"], "left").groupBy().agg(F.count("v"), F.sum("v"))
     )
-
-
-def test_size_check(spark, frame):
-    assert is_small(frame("a int", [(1,)]))
-    unknown = spark.createDataFrame([(1,)], "a int")
-    assert input_bytes(unknown) is None and not is_small(unknown)
-    both = frame("a int", [(1,)]).join(unknown, "a")
-    assert not is_small(both)
-
-
-def plan_of(df):
-    return df._jdf.queryExecution().optimizedPlan().toString()
-
-
-def test_large_side_is_never_hinted(spark):
-    many, one = skewed(spark), spark.createDataFrame([("hot", 1)], "k string, v int")
-    # Only the short list of frequent keys is hinted, once per side.
-    assert plan_of(attach(many, one, "k")).count("strategy=broadcast") == 2
-    assert "strategy=broadcast" not in plan_of(attach(many, one, "k", many_is_unique=True))

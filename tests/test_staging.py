@@ -13,7 +13,7 @@ CLAIM = "id string, npi string, ndc string, price string, quantity string, pbm_f
 STAMP = "2026-05-01T10:00:00"
 
 
-def claim(id="a", npi="1", ndc="00078050161", price="9.57", quantity="30", pbm_fee="7.34", timestamp=STAMP):
+def claim(id="a", npi="1", ndc="00000417", price="6.15", quantity="30", pbm_fee="2.48", timestamp=STAMP):
     return (id, npi, ndc, price, quantity, pbm_fee, timestamp, "f.json")
 
 
@@ -21,7 +21,7 @@ def reasons(df):
     return {r.claim_id: r.dq_reject_reason for r in df.collect()}
 
 
-def test_each_defect_has_its_reason(frame, join_plan):
+def test_each_defect_has_its_reason(frame):
     raw = frame(
         CLAIM,
         [
@@ -33,7 +33,7 @@ def test_each_defect_has_its_reason(frame, join_plan):
             claim("words", price="one hundred"),
             claim("nan", quantity="NaN"),
             claim("huge", price="1e30"),
-            claim("stamp", timestamp="2026-13-45T99:99:99"),
+            claim("stamp", timestamp="2025-02-31T27:61:00"),
             claim("blank_stamp", timestamp=""),
             claim("negative", price="-5"),
             claim("zero_quantity", quantity="0"),
@@ -67,13 +67,13 @@ def test_precedence(frame):
     assert reasons(staging.claims(raw)) == {"a": "unparseable_number"}
 
 
-def test_both_sides_of_a_duplicate(frame, join_plan):
-    raw = frame(CLAIM, [claim("d", price="10.00"), claim("d", price="1375.26"), claim("e")])
+def test_both_sides_of_a_duplicate(frame):
+    raw = frame(CLAIM, [claim("d", price="10.00"), claim("d", price="2148.39"), claim("e")])
     got = staging.claims(raw)
     assert rows(got, "claim_id", "price_cents", "id_occurrences", "dq_reject_reason") == [
         ("d", 1000, 2, "duplicate_claim_id"),
-        ("d", 137526, 2, "duplicate_claim_id"),
-        ("e", 957, 1, None),
+        ("d", 214839, 2, "duplicate_claim_id"),
+        ("e", 615, 1, None),
     ]
 
 
@@ -92,7 +92,7 @@ def test_order_of_rows_changes_nothing_and_a_copy_moves_two_rows(frame):
     assert staging.claims(frame(CLAIM, [*clean, claim("c7", price="99")])).where("dq_reject_reason is null").count() == 39
 
 
-def test_reverts(frame, join_plan):
+def test_reverts(frame):
     raw = frame(
         "id string, claim_id string, timestamp string, _source_file string",
         [
@@ -194,6 +194,6 @@ def test_payload_keeps_null_fields(frame):
     judged = staging.claims(frame(CLAIM, [claim(ndc=None)])).withColumn("scope_exclusion_reason", F.lit(None).cast("string"))
     row = quarantine.rejected("claims", judged).first()
     assert row.raw_payload == (
-        '{"id":"a","npi":"1","ndc":null,"price":"9.57","quantity":"30","pbm_fee":"7.34","timestamp":"2026-05-01T10:00:00"}'
+        '{"id":"a","npi":"1","ndc":null,"price":"6.15","quantity":"30","pbm_fee":"2.48","timestamp":"2026-05-01T10:00:00"}'
     )
     assert (row.detected_in, row.defect_class) == ("staging", "malformed")

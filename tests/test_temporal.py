@@ -38,10 +38,10 @@ def case(seed):
 
 
 BUCKETS = {
-    "ranges": dict(form="ranges"),
-    "timeline": dict(form="timeline"),
-    "timeline by hour": dict(form="timeline", bucket=lambda t: F.hour(t)),
-    "timeline by minute": dict(form="timeline", bucket=lambda t: minutes_crossed("DATE'2026-01-01'", t)),
+    "whole": {},
+    "by day": dict(bucket=F.to_date),
+    "by hour": dict(bucket=lambda t: F.hour(t)),
+    "by minute": dict(bucket=lambda t: minutes_crossed("DATE'2026-01-01'", t)),
 }
 
 
@@ -55,17 +55,6 @@ def test_asof_forms_equal_brute_force(frame, form, seed):
     assert rows(got, "i", "k", "t", "since", "v") == brute_force(facts, history)
 
 
-def test_asof_with_large_inputs_shuffles_by_slices(frame, monkeypatch):
-    from claimloom.operators import joins
-
-    monkeypatch.setattr(joins, "BROADCAST_BYTES", -1)
-    facts, history = case(3)
-    f = frame("i int, k string, t timestamp_ntz", facts)
-    h = frame("k string, since timestamp_ntz, v int", history)
-    got = temporal.asof_left_join(f, h, "k", "t", "since", ["v"], bucket=lambda t: F.hour(t))
-    assert rows(got, "i", "k", "t", "since", "v") == brute_force(facts, history)
-
-
 def test_one_per_key_limits_before_the_shuffle(frame):
     df = frame("k string, o int", [("a", 2), ("a", 1), ("b", 5)])
     first = temporal.one_per_key(df, ["k"], [F.col("o")])
@@ -74,14 +63,6 @@ def test_one_per_key_limits_before_the_shuffle(frame):
     assert ", 1, Partial" in plan and ", 1, Final" in plan
 
 
-def test_validity(frame):
-    h = frame("k string, since date", [("a", dt.date(2026, 1, 1)), ("a", dt.date(2026, 2, 1))])
-    assert rows(temporal.with_validity(h, ["k"], "since", "until"), "since", "until") == [
-        (dt.date(2026, 1, 1), dt.date(2026, 2, 1)),
-        (dt.date(2026, 2, 1), None),
-    ]
-
-
 def test_calendar_has_every_day(frame):
     bounds = frame("a date, b date", [(dt.date(2026, 2, 27), dt.date(2026, 3, 2))])
     days = [r[0] for r in temporal.calendar(bounds, "a", "b").orderBy("date_day").collect()]
