@@ -141,13 +141,18 @@ def _together(tasks: Iterable[Callable[[], object]]) -> list:
         return [f.result() for f in [pool.submit(t) for t in tasks]]
 
 
-def land(spark: SparkSession, paths: Mapping[str, str], root: str) -> dict[str, int]:
-    """Land the six sources as text tables; returns their row counts."""
-    return land_tables(landing.read_raw(spark, dict(paths)), root)
+def land(spark: SparkSession, paths: Mapping[str, str], root: str, files: int | None = None) -> dict[str, int]:
+    """Land the six sources as text tables; returns their row counts.
+
+    ``files``: how many files the event tables are written as, for when they arrive as few large ones; else as many
+    as arrive.
+    """
+    return land_tables(landing.read_raw(spark, dict(paths)), root, files)
 
 
-def land_tables(raw: Mapping[str, DataFrame], root: str) -> dict[str, int]:
-    names, frames = list(raw), [raw[n] for n in raw]
+def land_tables(raw: Mapping[str, DataFrame], root: str, files: int | None = None) -> dict[str, int]:
+    names = list(raw)
+    frames = [raw[n].repartition(files) if files and n in landing.EVENT_FIELDS else raw[n] for n in names]
     counts = _together(
         [lambda n=n, df=df: tables.write_counted(df, root, "raw", n) for n, df in zip(names, frames)]
     )
@@ -251,6 +256,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--root", required=True, help="folder of this run's tables")
     for name in RAW:
         p.add_argument(f"--{name.replace('_', '-')}", help=f"path of the {name} files")
+    p.add_argument("--files", type=int, help="files per landed event table, if fewer arrive")
     p.add_argument("--skip-land", action="store_true", help="build from tables already landed under the root")
     p.add_argument("--skip-build", action="store_true", help="land and stop")
     p.add_argument("--select", nargs="*", help="tables, layers or stages to build")
@@ -265,7 +271,7 @@ def main(argv: list[str] | None = None) -> int:
     args = parse_args(argv)
     spark = SparkSession.builder.appName("claims warehouse").getOrCreate()
     if not args.skip_land:
-        counts = land(spark, {name: getattr(args, name) for name in RAW}, args.root)
+        counts = land(spark, {name: getattr(args, name) for name in RAW}, args.root, args.files)
         for name, rows in counts.items():
             print(f"landed raw.{name}: {rows:,} rows")
     if not args.skip_build:
