@@ -8,8 +8,9 @@ set are thrown: regions are taken in order of rank until every coordinate has on
 
 Classes. Equal texts are one node. Nodes that agree in all rows of a band meet in a bucket. In each bucket all nodes
 are compared with its most central one (that with the most company over all its buckets), which is linear in the size
-of the bucket. In buckets that then still hold several classes, pairs of different classes are compared if one-bit
-sketches of their signatures allow the similarity, so no link is lost to the choice of a centre. Every link is decided
+of the bucket. In buckets that then still hold several classes, pairs of different classes are compared if their
+similarity can reach the threshold, so no link is lost to the choice of a centre: by a bound that is exact, from the
+number of shingles that each has in common with other classes at all, and by one-bit sketches of their signatures. Every link is decided
 by the exact Jaccard similarity of the sets of five-word shingles; classes are the connected components of the links.
 
 At similarity 0.8 a pair misses all BANDS bands with probability 2e-5; SKETCH_SLACK is 4.5 standard deviations.
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimloom.llm.shared import connected_components, with_keys, written
+from claimloom.llm.shared import connected_components, joined_components, with_keys, written
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -260,8 +261,30 @@ def element_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "node long, elements binary").dropDuplicates(["node"])
 
 
-def links(docs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
-    """Edges (a, b) between nodes whose components are the classes. ``nodes``: node, doc_id, print, bands, sketch."""
+def shared_with_others(sets: DataFrame, classes: DataFrame) -> DataFrame:
+    """(node, class, size, shared): how many elements a set has, and how many that some other class has as well.
+
+    No more than those can be shared with a set of another class, which bounds the similarity from above.
+    """
+    chosen = sets.join(classes, "node")
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = [np.frombuffer(e.as_buffer(), "<i8") for e in batch.column("elements")]
+            at = pa.array(np.repeat(np.arange(len(parts)), [len(p) for p in parts]))
+            elements = pa.array(np.concatenate([*parts, np.zeros(0, np.int64)]))
+            columns = [batch.column("node").take(at), batch.column("class").take(at), elements]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "class", "element"])
+
+    elements = chosen.mapInArrow(spread, "node long, class long, element long")
+    per_element = elements.groupBy("element").agg(F.min("class").alias("__lo"), F.max("class").alias("__hi"))
+    common = per_element.where("__lo < __hi").select("element", F.lit(1).alias("__one"))
+    counted = elements.join(common, "element", "left").groupBy("node", "class")
+    return counted.agg(F.count("*").alias("size"), F.count("__one").alias("shared"))
+
+
+def classes_of(docs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """(node, component) of the nodes that are like another one. ``nodes``: node, doc_id, print, bands, sketch."""
     keys = nodes.select("node", F.explode("bands").alias("key"))
     shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     members = written(keys.join(shared, "key"), "near-members")
@@ -275,19 +298,27 @@ def links(docs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
     asked = nodes.join(centrality.select("node"), "node", "left_semi")
     sets = written(element_sets(docs, asked), "near-sets")
     first = written(verified(to_centre.distinct(), sets, similarity), "near-links")
-    classes = connected_components(first, "near-classes")
+    classes = written(connected_components(first, "near-classes"), "near-classes")
     named = members.join(classes, "node", "left").withColumn("class", F.coalesce("component", "node"))
     mixed = named.groupBy("key").agg(F.min("class").alias("__lo"), F.max("class").alias("__hi")).where("__lo < __hi")
-    rest = named.join(mixed, "key").select("key", "node", "class")
-    rest = rest.join(nodes.select("node", "sketch"), "node")
+    rest = written(named.join(mixed, "key").select("key", "node", "class"), "near-rest")
+    able = shared_with_others(sets, rest.select("node", "class").distinct())
+    able = able.where(F.col("shared") >= F.col("size") * F.lit(similarity) - 1e-9)
+    rest = rest.drop("class").join(written(able.join(nodes.select("node", "sketch"), "node"), "near-able"), "node")
     words = -(-ROWS * BANDS // 64)
-    left = rest.select("key", F.col("node").alias("a"), F.col("class").alias("ca"), F.col("sketch").alias("sa"))
-    right = rest.select("key", F.col("node").alias("b"), F.col("class").alias("cb"), F.col("sketch").alias("sb"))
-    differ = sum((F.bit_count(F.get("sa", i).bitwiseXOR(F.get("sb", i))) for i in range(1, words)),
-                 F.bit_count(F.get("sa", 0).bitwiseXOR(F.get("sb", 0))))
-    near = left.join(right, (left.key == right.key) & (F.col("ca") < F.col("cb")) & (differ <= SKETCH_SLACK))
+    columns = ["node", "class", "sketch", "size", "shared"]
+    left = rest.select("key", *(F.col(c).alias(f"{c}_a") for c in columns))
+    right = rest.select("key", *(F.col(c).alias(f"{c}_b") for c in columns))
+    bits = [F.bit_count(F.get("sketch_a", i).bitwiseXOR(F.get("sketch_b", i))) for i in range(words)]
+    differ = sum(bits[1:], bits[0])
+    # Shared elements are in both shared parts; the union has all of one set and what the other shares with no class.
+    most = F.least("shared_a", "shared_b")
+    least = F.col("size_a") + F.col("size_b") - F.least("shared_a", "shared_b")
+    able = most >= least * F.lit(similarity) - 1e-9
+    close = (left.key == right.key) & (F.col("class_a") < F.col("class_b")) & able & (differ <= SKETCH_SLACK)
+    near = left.join(right, close).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
     across = near.select("a", "b").distinct().join(first, ["a", "b"], "left_anti")
-    return first.union(written(verified(across, sets, similarity), "near-links"))
+    return joined_components(classes, verified(across, sets, similarity), "near-classes")
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -305,7 +336,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
         F.count("*").alias("copies"),
     )
     nodes = written(texts.withColumn("node", F.monotonically_increasing_id()), "near-nodes")
-    classes = connected_components(links(docs, nodes, similarity), "near-classes")
+    classes = classes_of(docs, nodes, similarity)
     named = nodes.select("node", "print", "doc_id", "copies").join(classes, "node", "left")
     named = written(named.withColumn("class", F.coalesce("component", "node")).drop("component"), "near-named")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "print"))
