@@ -46,7 +46,7 @@ def new_folder(spark: SparkSession, name: str) -> str:
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back: cuts the lineage, and a lost executor loses nothing."""
     path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
