@@ -47,6 +47,12 @@ SPACE = "\t-\r \x85\xa0  -     　"
 BYTE_LEVEL_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
+def word_pattern(pattern: str = BYTE_LEVEL_WORDS) -> regex.Pattern:
+    """A pattern that cuts words, with white space as SPACE has it."""
+    pattern = pattern.replace(r"[^\s", f"[^{SPACE}").replace(r"\S", f"[^{SPACE}]").replace(r"\s", f"[{SPACE}]")
+    return regex.compile(pattern)
+
+
 def byte_alphabet() -> list[str]:
     """The printable character that stands for each byte in byte-level vocabularies."""
     own = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -158,8 +164,7 @@ class Vocabulary:
             raise ValueError("only byte-level vocabularies without a prefix space are read")
         self.keeps_space = len(steps) == 1
         pattern = BYTE_LEVEL_WORDS if self.keeps_space else steps[0]["pattern"]["Regex"]
-        self.words = regex.compile(pattern.replace(r"\s", f"[{SPACE}]").replace(r"[^[{}]".format(SPACE), f"[^{SPACE}")
-                                   .replace(r"\S", f"[^{SPACE}]"))
+        self.words = word_pattern(pattern)
         # What one lookup handles: a run of other characters, with the space before it where tokens keep it.
         self.pieces = re.compile(rf"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+" if self.keeps_space else rf"[^{SPACE}]+")
 

@@ -16,9 +16,11 @@ from __future__ import annotations
 
 import io
 import os
+import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -30,12 +32,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimloom.llm.bpe import CACHE_PIECES, CACHED_PIECE, SPACE
+from claimloom.llm.bpe import CACHED_PIECE, SPACE, byte_alphabet, word_pattern
 
 MAGIC = b"TOKIDX01"
 HEADER = struct.Struct("<8sBQQQQ")
 """Magic, bytes per id, rows, rows without a key, keys, buckets."""
 PER_BUCKET = 4
+CACHE_PIECES = 1 << 20
+"""Pieces whose ids a worker remembers, some 200 bytes each; the cache starts anew when it is full."""
 SHARD = "shard int, n_rows long, n_ids long"
 
 
@@ -166,33 +170,47 @@ def name(shard: int) -> str:
 
 
 class LibraryEncoder(dict):
-    """Texts to packed ids by the tokenizers library, which is asked once for each piece between white space.
+    """Texts to packed ids by the tokenizers library, which is asked once for each piece it has not seen lately.
 
-    No token of a byte-level vocabulary without a prefix space reaches across the start of a white-space run that
-    follows another character, so pieces cut there can be encoded apart. The mapping is a bounded cache.
+    For byte-level vocabularies without a prefix space. No token reaches across the start of a white-space run that
+    follows another character, nor past the last letter of a word, so pieces cut there can be encoded apart, and the
+    words of a piece are what the library's model is given. A text with a special token goes through the whole library.
+    The mapping is a bounded cache of pieces.
     """
 
     def __init__(self, path: str, kind: str) -> None:
-        import re
-
         from tokenizers import Tokenizer
 
         super().__init__()
-        self.library, self.kind = Tokenizer.from_file(path), kind
+        self.library, self.code = Tokenizer.from_file(path), "H" if kind == "<u2" else "I"
         self.library.no_truncation()
         self.library.no_padding()
-        self.cut = re.compile(rf"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+").findall
+        self.model = self.library.model
+        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        # A word of common letters that no other letter follows; else up to the next white space; else that.
+        self.cut = re.compile(
+            rf"[{SPACE}]*[A-Za-zÀ-ÖØ-öø-ÿ]+(?![^\W\d_])|[{SPACE}]*[^{SPACE}]+|[{SPACE}]+"
+        ).findall
+        self.words = word_pattern().findall
+        self.alphabet = str.maketrans({chr(b): c for b, c in enumerate(byte_alphabet())})
+
+    def packed(self, ids: list[int]) -> bytes:
+        return array(self.code, ids).tobytes()
 
     def __missing__(self, piece: str) -> bytes:
-        packed = np.array(self.library.encode(piece, add_special_tokens=False).ids, self.kind).tobytes()
+        mapped = (w.encode().decode("latin-1").translate(self.alphabet) for w in self.words(piece))
+        found = self.packed([t.id for w in mapped for t in self.model.tokenize(w)])
         if len(piece) <= CACHED_PIECE:
             if len(self) >= CACHE_PIECES:
                 self.clear()
-            self[piece] = packed
-        return packed
+            self[piece] = found
+        return found
 
     def encode(self, text: str | None) -> bytes:
-        return b"".join(map(self.__getitem__, self.cut(text or "")))
+        text = text or ""
+        if any(s in text for s in self.special):
+            return self.packed(self.library.encode(text, add_special_tokens=False).ids)
+        return b"".join(map(self.__getitem__, self.cut(text)))
 
 
 @lru_cache(2)

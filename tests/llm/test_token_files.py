@@ -2,6 +2,8 @@ import zlib
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from corpora import docs, no_docs  # noqa: F401
 
@@ -20,6 +22,14 @@ def test_perfect_hash_fills_every_slot_once(n):
     assert sorted(slots.tolist()) == list(range(len(keys)))
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet=st.characters(codec="utf-8", exclude_categories=["Cs", "Cn"]), max_size=60))
+def test_cached_words_are_encoded_as_whole_texts_are(text):
+    ours = token_files.library_encoder(vocabulary("byte_bpe_50k.json"), "<u2")
+    for t in (text, f"a  {text}<|endoftext|>{text} ", f"it's {text}\n\n {text}"):
+        assert np.frombuffer(ours.encode(t), "<u2").tolist() == ours.library.encode(t, add_special_tokens=False).ids
+
+
 def test_files_read_back(spark, docs, no_docs):
     path = vocabulary("byte_bpe_50k.json")
     library = tokenizers.Tokenizer.from_file(path)
