@@ -3,7 +3,9 @@
 The documents of each source, in a hashed order, form a stream of words that is read at most twice. Streams are cut
 into blocks of equally many words. Slot i of the schedule goes to the source under the golden-ratio point frac(i * g)
 of the cumulative targets, slots are ranked per source, and the j-th slot of a source reads the j-th block of its
-stream. After any number of slots each source is within a few blocks of its share.
+stream. After any number of slots each source is within a few blocks of its share. A source that the points give fewer
+slots than its target fills, as those with targets below a block often are, gets the missing ones after the last point,
+so that every source's target is read to its last word, whatever the other sources' sizes.
 
 Defined results: a null text has size 0 and is never taken; a null source is a source of its own, last in order;
 repeated rows are separate documents; equal hashes are ordered by id, size and text hash, so reruns agree; an empty table gives
@@ -95,7 +97,10 @@ def block_words(total: float, sources: int) -> int:
 
 
 def schedule(of_sources: DataFrame, total: float, block: int) -> DataFrame:
-    """(slot, source, block): every slot's source and which block of its stream it reads."""
+    """(slot, source, block): every slot's source and which block of its stream it reads.
+
+    Every source has the slots for all blocks of its rounded target; surplus ones read nothing.
+    """
     spark = of_sources.sparkSession
     n = -int(-total // block)
     # The point of a slot in (0, 1), scaled to the cumulative targets. One row per source is broadcast.
@@ -112,7 +117,16 @@ def schedule(of_sources: DataFrame, total: float, block: int) -> DataFrame:
     in_cells = spans.withColumn("__cell", F.explode(F.sequence(cell(F.col("low")), cell(F.col("high")))))
     placed = points.withColumn("__cell", cell(F.col("x"))).join(in_cells, "__cell").where("low <= x and x < high")
     flat = placed.select("slot", "source", F.shiftright("slot", 16).alias("__range"))
-    return with_running_start(flat, ["source"], "__range", ["slot"], F.lit(1), "block").drop("__range")
+    ranked = written(with_running_start(flat, ["source"], "__range", ["slot"], F.lit(1), "block").drop("__range"), "mix-slots")
+    have = ranked.groupBy(F.col("source").alias("__source")).agg(F.count("*").alias("have"))
+    need = F.expr(f"(cast(round(target) as long) + {block - 1}) div {block}")
+    short = of_sources.join(F.broadcast(have), F.col("source").eqNullSafe(F.col("__source")), "left")
+    short = short.select("source", F.coalesce("have", F.lit(0)).cast("long").alias("have"), need.alias("need"))
+    missing = short.where("have < need").select("source", F.explode(F.expr("sequence(have, need - 1)")).alias("block"))
+    # A source's points are off its share by a few slots only, so this is a few rows per source.
+    late = Window.partitionBy(F.lit(1)).orderBy("block", F.col("source").asc_nulls_last())
+    added = missing.select((F.row_number().over(late) + F.lit(n - 1)).cast("long").alias("slot"), "source", "block")
+    return ranked.select("slot", "source", "block").unionByName(added)
 
 
 def stream(sized: DataFrame) -> DataFrame:

@@ -67,3 +67,15 @@ def test_documents_come_as_often_as_they_are_read(sources):
     for r in mixing.mix(sources).collect():
         expected = (2 * r.taken + r["size"]) // (2 * r["size"]) if r["size"] else 0
         assert times.get(r.doc_id, 0) == expected
+
+
+def test_a_tiny_source_beside_millions_of_words_reaches_its_target(spark):
+    big = [(f"b{i}-{j}", " ".join(["w"] * 20_000), f"s{i:02}") for i in range(20) for j in range(10)]
+    tiny = [(f"t{i}-{j}", "a b c d e f g h i j k l m n o", f"t{i:02}") for i in range(10) for j in range(20)]
+    frame = spark.createDataFrame(big + tiny, "doc_id string, text string, source string")
+    rows = mixing.mix(frame).collect()
+    target = {r.source: r.target for r in rows}
+    assert min(target.values()) <= 600 and sum(target.values()) >= 6e6 - 1
+    for s, t in target.items():
+        assert sum(r.taken for r in rows if r.source == s) == round(t)
+    assert {r.source for r in mixing.mixed_documents(frame).collect()} == set(target)
