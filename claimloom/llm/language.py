@@ -5,7 +5,7 @@ it. A text is parsed against a sample into phrases, each the longest match with
 phrases, the closer the language. The language with the fewest normalised phrases (phrases times the bits of a place
 in the sample, per character) wins.
 
-Texts are parsed whole. Long ones are cut into stretches of STRETCH characters that are parsed side by side, for all
+The alphabet is every character of the samples. Texts are parsed whole. Long ones are cut into stretches of STRETCH characters that are parsed side by side, for all
 languages alike.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0, as is every text if nothing can be
@@ -29,7 +29,7 @@ SAMPLE_CHARS = 24_000
 SAMPLE_DOCUMENTS = 64
 """Documents that the characters of a language are taken from, evenly."""
 SYMBOLS = 96
-"""Most characters of the alphabet, by frequency in the samples; all others are phrases of their own."""
+"""Width of the dense tables, which hold the most frequent characters; moves by other characters are looked up."""
 STRETCH = 2048
 LANES = 8192
 """Stretches parsed side by side."""
@@ -97,17 +97,22 @@ def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
 
 
 class Languages:
-    """The automata of all languages as flat tables over one alphabet."""
+    """The automata of all languages over one alphabet: every character of the samples.
+
+    Moves by the most frequent characters are in flat tables; those by other characters, of which the automata have few
+    for their number, are in sorted arrays of (state, symbol).
+    """
 
     def __init__(self, sample: dict[str, str]) -> None:
         counts: dict[str, int] = {}
         for text in sample.values():
             for ch in text:
                 counts[ch] = counts.get(ch, 0) + 1
-        chosen = sorted(counts, key=lambda ch: (-counts[ch], ch))[: SYMBOLS - 1]
+        chosen = sorted(counts, key=lambda ch: (-counts[ch], ch))
         self.names = sorted(sample)
-        self.width = len(chosen) + 1
-        self.symbol = np.zeros(0x110000, np.uint8)  # 0: not in the alphabet
+        self.width = min(SYMBOLS, len(chosen) + 1)
+        self.size = len(chosen) + 1
+        self.symbol = np.zeros(0x110000, np.min_scalar_type(self.size))  # 0: not in the alphabet
         for i, ch in enumerate(chosen, 1):
             self.symbol[ord(ch)] = i
         self.tables = [self._table(self.symbols(sample[n])) for n in self.names]
@@ -116,8 +121,10 @@ class Languages:
     def symbols(self, text: str) -> np.ndarray:
         return self.symbol[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
 
-    def _table(self, symbols: np.ndarray) -> np.ndarray:
-        """At state + symbol: the next state, negative (by the sign bit) where a phrase ends before the symbol.
+    def _table(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The dense table and the moves by symbols beyond it: their sorted keys, where they lead, and the start's row.
+
+        At state + symbol: the next state, negative (by the sign bit) where a phrase ends before the symbol.
 
         States are given as offsets of their rows. After the end of a phrase the symbol starts the next one; a symbol
         that the sample does not have is a phrase of its own, for which the last row stands.
@@ -125,13 +132,30 @@ class Languages:
         moves = suffix_automaton([int(s) for s in symbols if s])
         alone = len(moves)
         table = np.full((alone + 1, self.width), alone * self.width, np.int32)
+        start = np.full(self.size, alone * self.width, np.int32)
         for c, to in moves[0].items():
-            table[:, c] = to * self.width
+            start[c] = to * self.width
+        table[:] = start[: self.width]
         table[1:] |= np.int32(-NEXT - 1)
+        rare: dict[int, int] = {}
         for state, row in enumerate(moves):
             for c, to in row.items():
-                table[state, c] = to * self.width
-        return table.ravel()
+                if c < self.width:
+                    table[state, c] = to * self.width
+                else:
+                    rare[state * self.width * self.size + c] = to * self.width
+        keys = np.array(sorted(rare), np.int64)
+        return table.ravel(), keys, np.array([rare[k] for k in keys.tolist()], np.int32), start
+
+    def _looked_up(self, table: tuple[np.ndarray, ...], state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        """As the dense table at state + symbol, for symbols beyond it."""
+        _, keys, to, start = table
+        first = np.where(state > 0, start[symbol] | np.int32(-NEXT - 1), start[symbol])
+        if not len(keys):
+            return first
+        asked = state.astype(np.int64) * self.size + symbol
+        at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+        return np.where(keys[at] == asked, to[at], first)
 
     def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
         """Phrases per text and language."""
@@ -140,17 +164,24 @@ class Languages:
         pieces.sort(reverse=True)
         for first in range(0, len(pieces), LANES):
             group = pieces[first : first + LANES]
-            lanes = np.zeros((group[0][0], len(group)), np.uint8)
+            lanes = np.zeros((group[0][0], len(group)), self.symbol.dtype)
             for lane, (n, i, at) in enumerate(group):
                 lanes[:n, lane] = texts[i][at : at + n]
             lengths = -np.array([n for n, _, _ in group])
             alive = np.searchsorted(lengths, -np.arange(len(lanes)), "left")  # lanes longer than each step
             owner = np.array([i for _, i, _ in group])
+            # Per step the lanes whose symbol is beyond the dense tables, which read 0 there.
+            step, who = np.nonzero(lanes >= self.width)
+            beyond = lanes[step, who]
+            bounds = np.searchsorted(step, np.arange(len(lanes) + 1)).tolist()
+            lanes[step, who] = 0
             for k, table in enumerate(self.tables):
                 state = np.zeros(len(group), np.int32)
                 count = np.zeros(len(group), np.int32)
-                for row, m in zip(lanes, alive.tolist()):
-                    to = table.take(state[:m] + row[:m])
+                for row, m, f, t in zip(lanes, alive.tolist(), bounds, bounds[1:]):
+                    to = table[0].take(state[:m] + row[:m])
+                    if f < t:
+                        to[who[f:t]] = self._looked_up(table, state[who[f:t]], beyond[f:t])
                     count[:m] += to < 0
                     state[:m] = to & NEXT
                 np.add.at(out[:, k], owner, count + (state > 0))

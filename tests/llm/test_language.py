@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import pytest
@@ -30,6 +31,22 @@ def test_phrases_equal_brute_force():
         assert row.tolist() == [longest_matches(t, samples[n], set()) for n in found.names]
 
 
+def test_every_character_of_the_samples_counts():
+    rng = random.Random(1)
+    scripts = {"en": range(97, 123), "ja": range(0x4E00, 0x4E00 + 1500), "ru": range(0x430, 0x450), "zh": range(0x4E00, 0x4E00 + 1500)}
+    words = {}
+    for lang, letters in scripts.items():
+        words[lang] = ["".join(chr(rng.choice(letters)) for _ in range(2 + i % 3)) for i in range(900)]
+    say = lambda lang, n: " ".join(rng.choice(words[lang]) for _ in range(n))
+    samples = {lang: say(lang, 2000) for lang in scripts}
+    found = language.Languages(samples)
+    texts = [(lang, say(lang, 12)) for lang in scripts for _ in range(10)]
+    got = found.phrases([found.symbols(t) for _, t in texts])
+    for row, (lang, text) in zip(got, texts):
+        assert row.tolist() == [longest_matches(text, samples[n], set()) for n in found.names]
+        assert found.names[row.argmin()] == lang
+
+
 def test_long_texts_are_cut_into_stretches():
     found = language.Languages({"a": "ab" * 50, "b": "xy" * 50})
     text = "ab" * 5000
