@@ -17,7 +17,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -48,16 +49,22 @@ def held_out():
 def samples(docs: DataFrame) -> dict[str, str]:
     """A bounded sample of text per language: SAMPLE_DOCUMENTS documents by a hash of their id.
 
-    What reaches the driver is at most SAMPLE_CHARS per language.
+    A document is the rows of a language with an id, of which the smallest text is taken. So repeated rows neither
+    crowd others out nor reach the driver, and what does is at most SAMPLE_CHARS per language.
     """
     # The documents are chosen on their narrow columns, and only then are their texts read.
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    known = learnable(docs).where(F.col("doc_id").isNotNull()).select("lang", "doc_id")
+    known = learnable(docs).where(F.col("doc_id").isNotNull()).select("lang", "doc_id").distinct()
     nth = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
-    ids = known.withColumn("__n", nth).where(F.col("__n") <= SAMPLE_DOCUMENTS).select("doc_id").distinct()
-    chosen = sorted(r[0] for r in ids.collect())
+    ids = known.withColumn("__n", nth).where(F.col("__n") <= SAMPLE_DOCUMENTS).select("lang", "doc_id")
+    chosen: dict[str, list] = {}
+    for r in ids.collect():
+        chosen.setdefault(r.lang, []).append(r.doc_id)
+    if not chosen:
+        return {}
+    wanted = reduce(or_, ((F.col("lang") == l) & F.col("doc_id").isin(sorted(i)) for l, i in sorted(chosen.items())))
     part = F.substring("text", 1, -(-SAMPLE_CHARS // SAMPLE_DOCUMENTS))
-    texts = learnable(docs).where(F.col("doc_id").isin(chosen)).select("lang", "doc_id", part.alias("t")).collect()
+    texts = learnable(docs).where(wanted).groupBy("lang", "doc_id").agg(F.min(part).alias("t")).collect()
     found: dict[str, list[str]] = {}
     for r in sorted(texts, key=lambda r: (r.lang, r.doc_id, r.t)):
         found.setdefault(r.lang, []).append(r.t)

@@ -78,3 +78,10 @@ def test_nothing_to_say(spark, docs, no_docs):
 def test_held_out_of_missing_ids(spark, given, expected):
     frame = spark.createDataFrame([(given,)], "doc_id long")
     assert frame.select(language.held_out()).first()[0] == expected
+
+
+def test_repeated_rows_count_once_in_the_sample(spark):
+    frame = spark.range(40).selectExpr("id as doc_id", "concat('text number ', id) as text", "'la' as lang")
+    repeated = frame.unionByName(frame.crossJoin(spark.range(200)).select(frame.columns))
+    repeated = repeated.unionByName(frame.selectExpr("doc_id", "'zz' as text", "lang"))
+    assert language.samples(repeated) == language.samples(frame) != {}
