@@ -5,8 +5,8 @@ hash. A shard's graph is kept as flat neighbour arrays, one row of a written tab
 blocks; every block meets every shard in an equality join on the shard number, and the nearest of all shards are merged.
 
 Defined results: vectors that are null, of zero length, zero, or that hold null or non-finite components take no part;
-vectors are compared with those of their own length only; rows of an equal id count as one row each; ties go to the
-smaller id; with fewer candidates than asked for all are returned; an empty table gives an empty result; columns other
+vectors are compared with those of their own length only; rows of equal id and vector count once; of an id with several
+vectors the shortest and then smallest one is searched, and all can be found; ties go to the smaller id; with fewer candidates than asked for all are returned; an empty table gives an empty result; columns other
 than the named ones are not read.
 """
 
@@ -164,10 +164,11 @@ def build_index(points: DataFrame, k: int, shard_rows: int = SHARD_ROWS) -> Data
     """The index table: a row per shard and vector length, every vector in it. ``k``: the most neighbours asked for.
 
     Of equal vectors the k + 1 smallest ids are kept, as no search can return more of them: its own id is skipped, and
-    ties go to smaller ids. They are chosen before the shuffle, so a vector that very many rows have stays small.
+    ties go to smaller ids. Rows that repeat an id count once. They are chosen before the shuffle, so a vector that very many rows have stays small.
     """
     nth = F.row_number().over(Window.partitionBy("embedding").orderBy("vec_id"))
-    few = points.withColumn("__n", nth).where(F.col("__n") <= k + 1)
+    once = points.select("embedding", "dim", "vec_id").distinct()
+    few = once.withColumn("__n", nth).where(F.col("__n") <= k + 1)
     distinct = written(
         few.groupBy("embedding", "dim").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")), "ann-vectors"
     )
@@ -249,4 +250,6 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, id_column: str
     points = usable(vectors, id_column, column)
     asked = usable(queries, id_column, column)
     total = asked.count()
-    return search(build_index(points, k), asked.dropDuplicates(["vec_id"]).withColumn("__total", F.lit(total)), k)
+    first = F.min(F.struct("dim", "embedding")).alias("__q")
+    asked = asked.groupBy("vec_id").agg(first).select("vec_id", "__q.embedding", "__q.dim")
+    return search(build_index(points, k), asked.withColumn("__total", F.lit(total)), k)

@@ -72,3 +72,11 @@ def test_vectors_that_take_no_part(spark):
     rows = hnsw.nearest(frame, frame, 10).collect()
     assert sorted((r.query_id, r.vec_id) for r in rows) == [(8, 9), (9, 8)]
     assert hnsw.nearest(frame.where("false"), frame.where("false")).count() == 0
+
+
+def test_repeated_rows_do_not_crowd_out_other_ids(spark):
+    rows = [(1, [1.0, 0.0])] * 30 + [(2, [1.0, 0.0]), (3, [1.0, 0.0])] + [(4, [0.0, 1.0]), (4, [1.0, 1.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = hnsw.nearest(frame, frame, k=3).collect()
+    assert [r.vec_id for r in sorted(found, key=lambda r: r["rank"]) if r.query_id == 1] == [2, 3, 4]
+    assert min(r.score for r in found if r.query_id == 4) == 2**0.5
