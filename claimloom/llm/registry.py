@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm import bpe, chat, dartminhash, hnsw, language, licenses, line_dedup, mixing, quality, token_files
+from claimloom.llm import (
+    bpe,
+    chat,
+    dartminhash,
+    divergence,
+    hard_negatives,
+    hnsw,
+    language,
+    licenses,
+    line_dedup,
+    mixing,
+    quality,
+    rules,
+    token_files,
+)
 from claimloom.llm.shared import new_folder, table, written
 
 
@@ -93,6 +107,23 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    points = hard_negatives.quantised(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", moved)
+    return hard_negatives.mine(points, points.where("vec_id % 100 = 0"))
+
+
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", language.held_out())
+    model = rules.train(docs.where(~F.col("held_out")), table(spark, sf_dir, "labels"), "quality")
+    return rules.scored(docs, model).select("doc_id", "held_out", "score", "predicted")
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_bpe_encoding": op1_bpe_encoding,
     "op2_chat_formatting": op2_chat_formatting,
@@ -104,6 +135,9 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_quality_rules": op9_quality_rules,
     "op10_line_dedup": op10_line_dedup,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_quality_classifier": op12_quality_classifier,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 
@@ -190,4 +224,93 @@ select *,
 from counted
 """
 
-ORACLES = {"op2_chat_formatting": CHAT_SQL, "op9_quality_rules": QUALITY_SQL}
+# Decimals where a product of bigints may leave the type.
+HARD_NEGATIVES_SQL = f"""
+with valued as (
+  select vec_id, label, list_transform(cast(embedding as double[]), lambda x: {hard_negatives.SCALE} * x) as v
+  from embeddings where vec_id is not null and label is not null and embedding is not null
+),
+points as (
+  select vec_id, list_transform(v, lambda x: cast(floor(x) as hugeint)) as v,
+    cast(case when vec_id % 7 = 0 then (label + 1) % 10 else label end as bigint) as label
+  from valued
+  where len(list_filter(v, lambda x: x is null or not isfinite(x))) = 0
+    and coalesce(list_sum(list_transform(v, lambda x: pow(abs(x) + 1, 2))), 0) < {hard_negatives.LARGEST_LENGTH}
+),
+single as (
+  select vec_id, p.v as v, p.label as label
+  from (select vec_id, min({{'dim': len(v), 'v': v, 'label': label}}) as p from points group by vec_id)
+),
+scored as (
+  select a.vec_id as anchor_id, b.vec_id as vec_id, a.label = b.label as same,
+    cast(coalesce(list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2])), 0) as bigint) as score
+  from single a join single b on a.vec_id <> b.vec_id and len(a.v) = len(b.v) where a.vec_id % 100 = 0
+),
+positives as (
+  select anchor_id, vec_id as positive_id, score as positive_score from scored where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= {hard_negatives.POSITIVES}
+)
+select anchor_id, positive_id, vec_id as negative_id, positive_score, score as negative_score,
+  cast(row_number() over (partition by anchor_id, positive_id order by score desc, vec_id) as int) as rank
+from positives join scored using (anchor_id)
+where not same and 80 * cast(positive_score as hugeint) <= 100 * cast(score as hugeint) and score <= positive_score
+qualify rank <= {hard_negatives.NEGATIVES}
+"""
+
+
+def _share(count: str, total: str) -> str:
+    return f"1 + coalesce(({count} + 1) * cast({divergence.SCALE} as hugeint) // nullif({total}, 0), 0)"
+
+
+DIVERGENCE_SQL = rf"""
+with docs as (
+  select row_number() over () as id, coalesce(text, '') as text, coalesce(lang, '') as lang,
+    coalesce(source, '') as source from documents
+),
+occurring as (
+  select id, lang, source, translate(term, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as term
+  from (select id, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term from docs)
+),
+kept as (
+  select lang, term, count(*) as n from occurring
+  group by all having count(distinct id) >= {divergence.MIN_DOCUMENTS}
+),
+langs as (select lang, count(term) as v, coalesce(sum(n), 0) as n
+  from (select distinct lang from docs) left join kept using (lang) group by lang),
+counted as (select lang, source, term, count(*) as n from occurring semi join kept using (lang, term) group by all),
+groups as (
+  select lang, source, langs.v as v, coalesce(any_value(g.n), 0) as n, any_value(langs.n) as lang_n
+  from (select distinct lang, source from docs) join langs using (lang)
+  left join (select lang, source, sum(n) as n from counted group by all) g using (lang, source) group by all
+),
+shares as (
+  select g.lang, g.source, k.term, coalesce(c.n, 0) as n,
+    {_share("coalesce(c.n, 0)", "g.n + g.v")} as p, {_share("k.n", "g.lang_n + g.v")} as q
+  from groups g join kept k on g.lang = k.lang
+  left join counted c on c.lang = g.lang and c.source = g.source and c.term = k.term
+),
+pairs as (
+  select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // b.p) as value
+  from shares a join shares b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all
+),
+every_pair as (
+  select a.lang, a.source, b.source as item, coalesce(p.value, 0) as value
+  from groups a join groups b on a.lang = b.lang and a.source <> b.source
+  left join pairs p on p.lang = a.lang and p.source = a.source and p.item = b.source
+),
+parts as (
+  select lang, source, 'pair' as part, item, value from every_pair
+  union all
+  select lang, source, 'term', term, (p - q) * (p - q) // q from shares where n > 0 and p > q
+)
+select lang, source, part, item, cast(value as bigint) as value,
+  cast(row_number() over (partition by lang, source, part order by value desc, item) as int) as rank
+from parts qualify part = 'pair' or rank <= {divergence.TOP_TERMS}
+"""
+
+ORACLES = {
+    "op2_chat_formatting": CHAT_SQL,
+    "op9_quality_rules": QUALITY_SQL,
+    "op11_hard_negatives": HARD_NEGATIVES_SQL,
+    "op13_source_divergence": DIVERGENCE_SQL,
+}
