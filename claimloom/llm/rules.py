@@ -36,6 +36,8 @@ LEAST_ROWS = 8
 """Rows on each side of a split, at least."""
 BINS = 32
 PENALTIES = (0.03, 0.01, 0.003, 0.001, 0.0003)
+LEAST_WEIGHT = 0.005
+"""Smaller weights, which no score feels, are what the steps have not quite taken to zero."""
 THRESHOLD = 0.7
 """Scores from here on predict label 1."""
 
@@ -202,7 +204,7 @@ def fit(names: list[str], x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> M
     else:
         penalty = PENALTIES[0]
     w, b = lasso(holds, y, weight, penalty)
-    kept = np.flatnonzero(np.abs(w) > 1e-9)
+    kept = np.flatnonzero(np.abs(w) > LEAST_WEIGHT)
     return Model(names, [rules[i] for i in kept], [float(w[i]) for i in kept], float(b))
 
 
