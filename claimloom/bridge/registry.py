@@ -21,7 +21,7 @@ from claimloom.functions import (
 from claimloom.operators.assertions import count_violations, repeated_keys, unreferenced, violation_count
 from claimloom.operators.classify import repeated_ids
 from claimloom.operators.joins import attach
-from claimloom.operators.temporal import asof_left_join, calendar, earliest_with_count, one_per_key
+from claimloom.operators.temporal import asof_left_join, calendar, earliest_with_count, interval_left_join, one_per_key
 from claimloom.plans import checks, economics, reports, scenarios
 from claimloom.plans.warehouse import Warehouse
 
@@ -130,6 +130,12 @@ _over_warehouse(lambda wh: wh.lookups_resolved, "resolve_lookups")
 _over_warehouse(lambda wh: wh.claim_attribution, "attribution")
 _over_warehouse(lambda wh: wh.claim_revert, "first_revert")
 _over_warehouse(lambda wh: wh.claim_cost, "asof_cost")
+_over_warehouse(
+    lambda wh: economics.with_cost(
+        wh.analysable.drop("dq_reject_reason", "scope_exclusion_reason", "chain"), wh.stg_price_history, interval_left_join
+    ),
+    "interval_cost",
+)
 _over_warehouse(
     lambda wh: economics.fee_economics(wh.analysable, economics.attribution(wh.clean_lookups), wh.stg_partners),
     "fee_split",

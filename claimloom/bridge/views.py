@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimloom.operators.joins import attach
+from claimloom.sources.arrays import CORRUPT
 
 # Terms as they arrive, by the first character of a partner's name; others have none.
 FLAT_FEES = {"1": "100", "5": "0", "A": "1.7", "B": " ", "H": "none"}
@@ -86,14 +87,20 @@ def reverts(lineitem: DataFrame) -> DataFrame:
 def lookups(orders: DataFrame) -> DataFrame:
     order = _text(F.col("o_orderkey"))
     channel = F.when(F.col("o_orderstatus") == "F", "integration").when(F.col("o_orderstatus") == "O", "website")
+    fields = {
+        "id": order,
+        "claim_id": F.when(F.col("o_orderstatus") == "F", F.concat(order, F.lit("-1"))),
+        "ndc": F.when(_every("o_orderkey", 107), "").otherwise(_code(F.col("o_custkey"))),
+        "partner": F.when(F.col("o_orderpriority") != NO_PARTNER, F.col("o_orderpriority")),
+        "channel": F.when(_every("o_orderkey", 113), " ").otherwise(channel.otherwise(" APP ")),
+        "timestamp": F.when(_every("o_orderkey", 109), "not-a-date").otherwise(_text(F.col("o_orderdate"))),
+    }
+    # A record that breaks off has no field, only its text.
+    broken = _every("o_orderkey", 131)
     return orders.select(
-        order.alias("id"),
-        F.when(F.col("o_orderstatus") == "F", F.concat(order, F.lit("-1"))).alias("claim_id"),
-        F.when(_every("o_orderkey", 107), "").otherwise(_code(F.col("o_custkey"))).alias("ndc"),
-        F.when(F.col("o_orderpriority") != NO_PARTNER, F.col("o_orderpriority")).alias("partner"),
-        F.when(_every("o_orderkey", 113), " ").otherwise(channel.otherwise(" APP ")).alias("channel"),
-        F.when(_every("o_orderkey", 109), "not-a-date").otherwise(_text(F.col("o_orderdate"))).alias("timestamp"),
+        *(F.when(~broken, value).alias(name) for name, value in fields.items()),
         F.lit("orders").alias("_source_file"),
+        F.when(broken, F.concat(F.lit('{"id": "'), order, F.lit('", "ndc": '))).alias(CORRUPT),
     )
 
 
@@ -128,8 +135,8 @@ def partners(orders: DataFrame, customer: DataFrame) -> DataFrame:
 
 
 def price_history(lineitem: DataFrame, part: DataFrame) -> DataFrame:
-    rate = F.round(F.col("l_extendedprice") / F.col("l_quantity") * 100) / 100
     """A dated price per line item; every tenth item has no readable date, some no readable rate."""
+    rate = F.round(F.col("l_extendedprice") / F.col("l_quantity") * 100) / 100
     named = attach(
         lineitem.withColumnRenamed("l_partkey", "p_partkey"), part.select("p_partkey", "p_name"), "p_partkey"
     )

@@ -42,9 +42,12 @@ class CheckFailed(Exception):
 
 @dataclass(frozen=True)
 class Table:
+    """``month_of``: the date by whose month it is partitioned; ``key``: what it is bucketed by, if tables are."""
+
     name: str
     layer: str
     month_of: str | None = None
+    key: str | None = None
 
 
 @dataclass(frozen=True)
@@ -68,10 +71,10 @@ STAGES = [
     Stage(
         "staging",
         [
-            Table("claims_judged", "intermediate"),
+            Table("claims_judged", "intermediate", key="claim_id"),
             Table("stg_price_history", "staging"),
-            Table("stg_lookups", "staging"),
-            Table("stg_reverts", "staging"),
+            Table("stg_lookups", "staging", key="claim_id"),
+            Table("stg_reverts", "staging", key="claim_id"),
             Table("stg_pharmacies", "staging"),
             Table("stg_partners", "staging"),
         ],
@@ -142,12 +145,12 @@ def _together(tasks: Iterable[Callable[[], object]]) -> list:
 
 
 def land(spark: SparkSession, paths: Mapping[str, str], root: str, files: int | None = None) -> dict[str, int]:
-    """Land the six sources as text tables; returns their row counts.
+    """Land the six sources as text tables; returns their row counts. Unreadable records are rows too.
 
     ``files``: how many files the event tables are written as, for when they arrive as few large ones; else as many
     as arrive.
     """
-    return land_tables(landing.read_raw(spark, dict(paths)), root, files)
+    return land_tables(landing.read_raw(spark, dict(paths), spool=f"{root.rstrip('/')}/raw/_pieces"), root, files)
 
 
 def land_tables(raw: Mapping[str, DataFrame], root: str, files: int | None = None) -> dict[str, int]:
@@ -169,6 +172,13 @@ def violations(results: list[DataFrame]) -> dict[str, int]:
     return {r.check_name: r.violations for r in rows}
 
 
+def stop_if_violated(stage: str, results: list[DataFrame], allow: Collection[str] = ()) -> None:
+    """Run checks and raise for violations of those that are not allowed to fail."""
+    failed = {c: n for c, n in violations(results).items() if c not in allow}
+    if failed:
+        raise CheckFailed(stage, failed)
+
+
 def build(
     spark: SparkSession,
     root: str,
@@ -176,11 +186,14 @@ def build(
     reuse: str | None = None,
     run_checks: bool = True,
     allow: Collection[str] = (),
+    buckets: int | None = None,
 ) -> Warehouse:
     """Build the warehouse from the landed tables under ``root``.
 
     ``select``: only these tables, layers or stages, with all that depends on them if the name ends in ``+``; other
     tables are read from ``reuse``, an earlier root, when it is given, else built as part of what needs them.
+    ``buckets``: write the tables that are joined by claim id in so many buckets, so that attribution, reversals and the
+    links of reversals and lookups need no shuffle; one bucket is one task, so choose it by the size of the claims.
     ``allow``: checks that may fail without stopping the build. A stage's tables get their catalog names when its
     checks have passed, so a failed build leaves readers with the tables of the last good one.
     """
@@ -194,13 +207,12 @@ def build(
                 _put(wh, t.name, tables.open_table(spark, reuse, t.layer, t.name))
         if not chosen:
             continue
-        written = _write(wh, chosen, root)
+        written = _write(wh, chosen, root, buckets)
         if run_checks:
-            failed = {c: n for c, n in violations(_chosen_checks(stage, wh, chosen)).items() if c not in allow}
-            if failed:
-                raise CheckFailed(stage.name, failed)
+            stop_if_violated(stage.name, _chosen_checks(stage, wh, chosen), allow)
         for t, table in zip(chosen, written):
-            tables.register(table, root, t.layer, t.name, partitioned=t.month_of is not None)
+            bucketed = (t.key, buckets) if t.key and buckets else None
+            tables.register(table, root, t.layer, t.name, t.month_of is not None, bucketed)
     for view in INTERMEDIATE_VIEWS:
         getattr(wh, view).createOrReplaceTempView(view)
     return wh
@@ -233,10 +245,15 @@ def selected(select: Collection[str] | None) -> set[str]:
     return found
 
 
-def _write(wh: Warehouse, chosen: list[Table], root: str) -> list[DataFrame]:
+def _write(wh: Warehouse, chosen: list[Table], root: str, buckets: int | None = None) -> list[DataFrame]:
+    def write(t: Table, plan: DataFrame) -> DataFrame:
+        if t.key and buckets:
+            return tables.write_bucketed(plan, root, t.layer, t.name, t.key, buckets)
+        return tables.write_table(plan, root, t.layer, t.name, t.month_of)
+
     # Plans first, in one thread; only the writing runs side by side.
     plans = [(t, getattr(wh, t.name)) for t in chosen]
-    written = _together([lambda p=p: tables.write_table(p[1], root, p[0].layer, p[0].name, p[0].month_of) for p in plans])
+    written = _together([lambda p=p: write(*p) for p in plans])
     for (t, _), table in zip(plans, written):
         _put(wh, t.name, table)
     return written
@@ -260,6 +277,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--skip-land", action="store_true", help="build from tables already landed under the root")
     p.add_argument("--skip-build", action="store_true", help="land and stop")
     p.add_argument("--select", nargs="*", help="tables, layers or stages to build")
+    p.add_argument("--buckets", type=int, help="write the tables joined by claim id in so many buckets")
     p.add_argument("--reuse", help="root of an earlier run, read for tables that are not selected")
     args = p.parse_args(argv)
     if not args.skip_land and not all(getattr(args, name) for name in RAW):
@@ -275,7 +293,7 @@ def main(argv: list[str] | None = None) -> int:
         for name, rows in counts.items():
             print(f"landed raw.{name}: {rows:,} rows")
     if not args.skip_build:
-        build(spark, args.root, args.select, args.reuse)
+        build(spark, args.root, args.select, args.reuse, buckets=args.buckets)
         print(f"warehouse built under {args.root}")
     return 0
 

@@ -5,8 +5,12 @@ the unique side is, so the plan does not depend on how large a day's files are:
 
 * a reference table (``reference=True``): broadcast, ``many`` is not shuffled. The query fails, with a message, if the
   table really has more than REFERENCE_ROWS rows;
-* anything else: a sort-merge join on the key. Adaptive execution splits a frequent key's partition. It cannot help
-  where a left join keeps rows without a key, which would all meet in one task, so those are spread over many.
+* anything else: a sort-merge join on the key. Adaptive execution splits a frequent key's partition. Rows without a
+  key, which a left join keeps, would all meet in one task: where many rows may lack one (``keyless=True``) they are
+  taken out before the join, not shuffled at all, and put back behind it, at the price of planning ``many`` twice.
+
+``maybe_among`` leaves out rows whose key cannot be among those of another table before the rows are shuffled. Its
+broadcast has at most FILTER_WORDS rows whatever the tables' sizes.
 
 Declaring a join starts no job.
 """
@@ -14,6 +18,8 @@ Declaring a join starts no job.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,8 +27,8 @@ from pyspark.sql import functions as F
 REFERENCE_ROWS = 1_000_000
 """Most rows of a table that is declared a reference table."""
 
-SPREAD = 1000
-"""Parts over which rows without a key are spread."""
+FILTER_WORDS = 1 << 16
+"""Most rows of a key filter, of 64 bits each: a million keys let one other key in four or five pass."""
 
 
 def guarded(reference: DataFrame) -> DataFrame:
@@ -39,18 +45,36 @@ def attach(
     how: str = "left",
     *,
     reference: bool = False,
+    keyless: bool = False,
 ) -> DataFrame:
-    """Join ``one`` (unique per ``on``) to ``many``. ``how``: left, inner, left_semi or left_anti."""
+    """Join ``one`` (unique per ``on``) to ``many``. ``how``: left, inner, left_semi or left_anti.
+
+    ``keyless``: many rows of ``many`` may have a NULL in ``on``; they match nothing.
+    """
     keys = [on] if isinstance(on, str) else list(on)
     if reference:
         return many.join(guarded(one), keys, how)
-    if how not in ("left", "left_anti"):
+    if not keyless or how not in ("left", "left_anti"):
         return many.join(one.hint("merge"), keys, how)
-    has_key = F.lit(True)
-    for k in keys:
-        has_key = has_key & F.col(k).isNotNull()
-    # Where a row goes depends on its input partition only, so a recomputed task sends it to the same place. Rows
-    # without a key match nothing wherever they are.
-    part = F.when(has_key, F.lit(0)).otherwise(F.pmod(F.hash(F.spark_partition_id()), F.lit(SPREAD)))
-    spread = many.withColumn("__part", part)
-    return spread.join(one.withColumn("__part", F.lit(0)).hint("merge"), [*keys, "__part"], how).drop("__part")
+    no_key = reduce(or_, (F.col(k).isNull() for k in keys))
+    joined = many.where(~no_key).join(one.hint("merge"), keys, how)
+    alone = many.where(no_key)
+    if how == "left":
+        alone = alone.select("*", *(F.lit(None).cast(f.dataType).alias(f.name) for f in one.schema if f.name not in keys))
+    return joined.unionByName(alone)
+
+
+def maybe_among(rows: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+    """The rows whose key may be one of ``keys``: all of those, and of other keys about one in
+    (64 * FILTER_WORDS / number of keys). Rows without a key are left out."""
+
+    def place(c: str):
+        return F.pmod(F.xxhash64(c), F.lit(64 * FILTER_WORDS))
+
+    bit = F.expr("shiftleft(1L, cast(__place % 64 as int))")
+    placed = keys.where(F.col(on).isNotNull()).select(place(on).alias("__place"))
+    words = placed.groupBy((F.col("__place") / 64).cast("int").alias("__word")).agg(F.bit_or(bit).alias("__bits"))
+    asked = rows.where(F.col(on).isNotNull()).withColumn("__place", place(on))
+    asked = asked.withColumn("__word", (F.col("__place") / 64).cast("int"))
+    found = asked.join(F.broadcast(words), "__word")
+    return found.where(F.col("__bits").bitwiseAND(bit) != 0).select(*rows.columns)

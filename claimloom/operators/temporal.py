@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimloom.operators.joins import attach
+from claimloom.operators.joins import attach, maybe_among
 
 
 def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -42,9 +42,9 @@ def asof_left_join(
 
     ``history`` is unique per (key, since). Columns added: ``since`` and ``payload``.
 
-Resolve each distinct (key, at) pair once, then attach the answers to the facts.
-
-    Pairs are made distinct before the shuffle, so a hot key shrinks to its distinct instants. Pairs and versions of
+    Each distinct (key, at) pair is resolved once and the answers are attached to the facts. Pairs are made distinct
+    before the shuffle, so a hot key shrinks to its distinct instants, and versions of keys that no fact has are left
+    out before theirs: a history is often of many more keys than are seen. Pairs and versions of
     a key are read in time order and the last version is carried forward. With ``bucket`` a key's time line is cut
     into buckets: within a bucket as before, and where a bucket has no earlier version, the last one of the buckets
     before it, found over one row per key and bucket.
@@ -53,7 +53,8 @@ Resolve each distinct (key, at) pair once, then attach the answers to the facts.
     bucketed = bucket or (lambda _: F.lit(0))
     mark = F.struct(F.col(since).alias("s"), *(F.col(c).alias(f"p{i}") for i, c in enumerate(payload)))
     probes = facts.where(F.col(key).isNotNull() & F.col(at).isNotNull()).select(key, F.col(at).alias("__t")).distinct()
-    marks = history.where(F.col(key).isNotNull() & F.col(since).isNotNull()).select(
+    observed = maybe_among(history, probes, key)
+    marks = observed.where(F.col(since).isNotNull()).select(
         key, F.col(since).alias("__t"), mark.alias("__mark")
     )
     mark_type = marks.schema["__mark"].dataType
@@ -81,6 +82,39 @@ Resolve each distinct (key, at) pair once, then attach the answers to the facts.
     return attach(facts, answers, [key, at], "left")
 
 
+def interval_left_join(
+    facts: DataFrame, history: DataFrame, key: str, at: str, since: str, payload: Sequence[str], *, days: int = 90
+) -> DataFrame:
+    """As :func:`asof_left_join` over dates, as a bounded interval join for very long histories per key.
+
+    A version holds from its date to the day before the next one. It is dealt to the bins of ``days`` days that it
+    reaches into, a fact to the bin of its day, and a fact meets the versions of its key and bin only; the one that
+    holds on its day is the answer. So a hot key is spread over its bins. Narrow bins spread more, wide ones repeat
+    long versions less. A version after the last fact is dealt to no bin, one that still holds up to the last fact's.
+    """
+
+    def bin_of(day: Column) -> Column:
+        return F.floor(F.datediff(day, F.lit("1970-01-01").cast("date")) / days).cast("int")
+
+    no_answer = F.col(key).isNull() | F.col(at).isNull()
+    asked = facts.where(~no_answer)
+    next_since = F.lead(since).over(Window.partitionBy(key).orderBy(since))
+    held = maybe_among(history.select(key, since, *payload), asked.select(key), key).where(F.col(since).isNotNull())
+    last = asked.agg(F.max(at)).scalar()
+    versions = held.withColumn("__until", next_since).where(F.col(since) <= last)
+    reach = F.sequence(bin_of(F.col(since)), bin_of(F.least(F.date_sub("__until", 1), last)))
+    dealt = versions.withColumn("__bin", F.explode(reach)).select(
+        F.col(key).alias("__key"), "__bin", "__until", F.col(since).alias("__since"), *(F.col(c).alias(f"__p_{c}") for c in payload)
+    )
+    holds = (F.col(at) >= F.col("__since")) & (F.col("__until").isNull() | (F.col(at) < F.col("__until")))
+    binned = asked.withColumn("__at_bin", bin_of(F.col(at)))
+    same = (binned[key] == dealt["__key"]) & (F.col("__at_bin") == F.col("__bin"))
+    answers = [F.col("__since").alias(since), *(F.col(f"__p_{c}").alias(c) for c in payload)]
+    found = binned.join(dealt.hint("merge"), same & holds, "left").select(*facts.columns, *answers)
+    nothing = [F.lit(None).cast(history.schema[c].dataType).alias(c) for c in (since, *payload)]
+    return found.unionByName(facts.where(no_answer).select("*", *nothing))
+
+
 def calendar(bounds: DataFrame, first: str, last: str, out: str = "date_day") -> DataFrame:
     """Every day from a one-row bounds frame; no row when the bounds are NULL."""
     days = F.sequence(F.col(first), F.col(last), F.expr("interval 1 day"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,12 +47,12 @@ def first_reverts(reverts: DataFrame) -> DataFrame:
     return first.select("claim_id", "reverted_at", "revert_id", "revert_event_count")
 
 
-def with_cost(claims: DataFrame, prices: DataFrame) -> DataFrame:
+def with_cost(claims: DataFrame, prices: DataFrame, resolve: Callable[..., DataFrame] = asof_left_join) -> DataFrame:
     """Acquisition cost at the price in force on the fill date; NULL, not zero, when there is none.
 
-    The unit rate is multiplied by the quantity first and rounded to cents after.
+    The unit rate is multiplied by the quantity first and rounded to cents after. ``resolve``: the as-of join.
     """
-    priced = asof_left_join(claims, prices, "ndc", "filled_date", "effective_date", COST_ATTRIBUTES)
+    priced = resolve(claims, prices, "ndc", "filled_date", "effective_date", COST_ATTRIBUTES)
     # A cost beyond bigint cents is no cost we know: sums and the match flag then agree that it is missing.
     cost = to_cents("unit_cost_usd * quantity")
     matched = F.col("est_acquisition_cost_cents").isNotNull()

@@ -112,11 +112,11 @@ def claim_fact(outcome: DataFrame, prices: DataFrame) -> DataFrame:
 def lookup_fact(clean_lookups: DataFrame, claim_facts: DataFrame) -> DataFrame:
     """One row per well-formed lookup with the outcome of its claim, if that claim can be analysed.
 
-    Joining the claim outcome also settles whether the lookup converted, so this needs one join, not two.
+    Most lookups have no claim id; they are not shuffled. Joining the claim outcome also settles whether the lookup converted, so this needs one join, not two.
     """
     outcome = claim_facts.select("claim_id", "chain", "pharmacy_npi", "is_reverted", "net_retained_cents")
     converted = F.col("is_reverted").isNotNull()
-    return attach(clean_lookups, outcome, "claim_id").select(
+    return attach(clean_lookups, outcome, "claim_id", keyless=True).select(
         "lookup_id",
         F.when(converted, F.col("claim_id")).alias("claim_id"),
         "ndc",

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimloom.operators.classify import relabel
 from claimloom.plans.staging import CLAIM_REASONS, LOOKUP_REASONS, REVERT_REASONS
+from claimloom.sources.arrays import CORRUPT
 
 # The class of every reason. There is no default, a new reason has to be listed.
+UNREADABLE = "unreadable_record"
 DEFECT_CLASSES = {
+    UNREADABLE: "malformed",
     "missing_required_field": "malformed",
     "unparseable_number": "malformed",
     "unparseable_timestamp": "malformed",
@@ -19,7 +25,7 @@ DEFECT_CLASSES = {
     "unknown_npi": "out_of_scope",
     "orphan_claim_id": "out_of_scope",
 }
-REASONS = list(dict.fromkeys([*CLAIM_REASONS, *REVERT_REASONS, *LOOKUP_REASONS, "unknown_npi", "orphan_claim_id"]))
+REASONS = list(dict.fromkeys([UNREADABLE, *CLAIM_REASONS, *REVERT_REASONS, *LOOKUP_REASONS, "unknown_npi", "orphan_claim_id"]))
 
 # Output field -> staged column, per source.
 PAYLOADS = {
@@ -61,9 +67,30 @@ def rejected(source: str, judged: DataFrame) -> DataFrame:
     )
 
 
-def quarantine(judged_claims: DataFrame, judged_reverts: DataFrame, staged_lookups: DataFrame) -> DataFrame:
-    return (
-        rejected("claims", judged_claims)
-        .unionByName(rejected("reverts", judged_reverts))
-        .unionByName(rejected("lookups", staged_lookups))
+def unreadable(source: str, raw: DataFrame) -> DataFrame:
+    """The landed records of one source that could not be read; the payload is their text."""
+    return raw.where(F.col(CORRUPT).isNotNull()).select(
+        F.lit(source).alias("source_table"),
+        F.lit("staging").alias("detected_in"),
+        F.lit(None).cast("string").alias("record_id"),
+        F.lit(UNREADABLE).alias("reject_reason"),
+        F.lit(DEFECT_CLASSES[UNREADABLE]).alias("defect_class"),
+        "_source_file",
+        F.col(CORRUPT).alias("raw_payload"),
     )
+
+
+def quarantine(
+    judged_claims: DataFrame,
+    judged_reverts: DataFrame,
+    staged_lookups: DataFrame,
+    raw: Mapping[str, DataFrame] | None = None,
+) -> DataFrame:
+    """``raw``: the landed event tables by source, for their unreadable records."""
+    parts = [
+        rejected("claims", judged_claims),
+        rejected("reverts", judged_reverts),
+        rejected("lookups", staged_lookups),
+        *(unreadable(s, df) for s, df in (raw or {}).items() if CORRUPT in df.columns),
+    ]
+    return reduce(DataFrame.unionByName, parts)

@@ -52,7 +52,7 @@ def reverts_scoped(judged: DataFrame) -> DataFrame:
 def lookups_resolved(staged: DataFrame, analysable_claims: DataFrame) -> DataFrame:
     """Well-formed lookups. One that names a claim we cannot analyse loses the link, not the row."""
     clean = staged.where(F.col("dq_reject_reason").isNull())
-    linked = attach(clean, _known(analysable_claims), "claim_id")
+    linked = attach(clean, _known(analysable_claims), "claim_id", keyless=True)
     converted = F.coalesce("claim_is_known", F.lit(False))
     return linked.select(
         "lookup_id",

@@ -21,6 +21,7 @@ from claimloom.functions import (
 )
 from claimloom.operators.classify import any_null, first_match, relabel, with_occurrences
 from claimloom.operators.temporal import one_per_key
+from claimloom.sources.arrays import CORRUPT
 
 # Reasons, in rule order.
 CLAIM_REASONS = [
@@ -35,8 +36,13 @@ LOOKUP_REASONS = ["missing_required_field", "unparseable_timestamp"]
 DRUG_CLASSES = {"B": "brand", "G": "generic"}
 
 
+def readable(raw: DataFrame) -> DataFrame:
+    """The landed rows but unreadable records, which go to the quarantine as they are."""
+    return raw.where(F.col(CORRUPT).isNull()) if CORRUPT in raw.columns else raw
+
+
 def claims(raw: DataFrame) -> DataFrame:
-    typed = raw.select(
+    typed = readable(raw).select(
         clean_text("id").alias("claim_id"),
         clean_text("npi").alias("npi"),
         clean_text("ndc").alias("ndc"),
@@ -90,7 +96,7 @@ def claims(raw: DataFrame) -> DataFrame:
 
 
 def reverts(raw: DataFrame) -> DataFrame:
-    typed = raw.select(
+    typed = readable(raw).select(
         clean_text("id").alias("revert_id"),
         clean_text("claim_id").alias("claim_id"),
         parse_timestamp("timestamp").alias("reverted_at"),
@@ -122,7 +128,7 @@ def lookups(raw: DataFrame) -> DataFrame:
         LOOKUP_REASONS,
         [any_null("lookup_id", "ndc", "timestamp_raw"), "looked_up_at IS NULL"],
     )
-    return raw.select(
+    return readable(raw).select(
         clean_text("id").alias("lookup_id"),
         clean_text("claim_id").alias("claim_id"),
         clean_text("ndc").alias("ndc"),

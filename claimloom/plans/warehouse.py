@@ -154,7 +154,8 @@ class Warehouse:
 
     @_model
     def dq_rejects(self):
-        return quarantine.quarantine(self.claims_judged, self.reverts_judged, self.stg_lookups)
+        events = {source: self.raw[source] for source in quarantine.PAYLOADS}
+        return quarantine.quarantine(self.claims_judged, self.reverts_judged, self.stg_lookups, events)
 
     @_model
     def mart_partner_performance(self):

@@ -83,3 +83,46 @@ def test_composite_key(spark):
     assert rows(got.groupBy().agg(F.count("v"), F.sum("v"))) == rows(
         many.join(one, ["k", "d"], "left").groupBy().agg(F.count("v"), F.sum("v"))
     )
+
+
+def sizes_by_task(df):
+    return [r["count"] for r in df.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()]
+
+
+@pytest.mark.parametrize("how", ["left", "left_anti"])
+def test_rows_without_a_key_are_not_shuffled(spark, how):
+    """Two thirds of a mixed table have no key: in a plain join they meet in one task."""
+    key = F.when(F.col("id") % 3 == 0, F.concat(F.lit("k"), F.col("id") % 5000))
+    mixed = spark.range(0, 60_000, 1, 8).select("id", key.alias("k"))
+    one = spark.range(0, 3000, 1, 2).select(F.concat(F.lit("k"), F.col("id")).alias("k"), F.col("id").alias("v"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plain, split = attach(mixed, one, "k", how), attach(mixed, one, "k", how, keyless=True)
+        assert max(sizes_by_task(plain)) >= 40_000
+        assert max(sizes_by_task(split)) < 10_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert split.columns == plain.columns and split.exceptAll(plain).count() == 0 and split.count() == plain.count()
+
+
+def test_composite_keys_without_a_part(spark):
+    many = skewed(spark).withColumn("d", F.when(F.col("id") % 2 == 0, F.lit(0).cast("bigint")))
+    one = unique_side(spark).withColumn("d", F.lit(0).cast("bigint"))
+    plain, split = (attach(many, one, ["k", "d"], keyless=keyless) for keyless in (False, True))
+    assert plain.exceptAll(split).count() == 0 and plain.count() == split.count()
+
+
+def test_the_key_filter_keeps_every_wanted_row_and_few_others(spark):
+    rows_ = spark.range(200_000).select(F.concat(F.lit("k"), F.col("id")).alias("k"), "id")
+    wanted = spark.range(0, 200_000, 1000).select(F.concat(F.lit("k"), F.col("id")).alias("k"))
+    kept = joins.maybe_among(rows_.union(spark.sql("select cast(null as string), -1L")), wanted, "k")
+    assert kept.join(wanted, "k", "left_semi").count() == 200
+    assert 200 <= kept.count() < 300
+    assert joins.maybe_among(rows_, wanted.where("false"), "k").count() == 0
+
+
+def test_a_crowded_key_filter_only_lets_more_pass(spark, monkeypatch):
+    monkeypatch.setattr(joins, "FILTER_WORDS", 2)
+    rows_ = spark.range(5000).select(F.col("id").alias("k"))
+    kept = joins.maybe_among(rows_, spark.range(0, 5000, 2).select(F.col("id").alias("k")), "k")
+    assert kept.where("k % 2 = 0").count() == 2500

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from claimloom.functions import minutes_crossed
 from claimloom.operators import temporal
+from claimloom.operators.joins import maybe_among
+from claimloom.operators.temporal import asof_left_join, interval_left_join
 
 EPOCH = dt.datetime(2026, 1, 1)
 
@@ -68,3 +70,30 @@ def test_calendar_has_every_day(frame):
     days = [r[0] for r in temporal.calendar(bounds, "a", "b").orderBy("date_day").collect()]
     assert days == [dt.date(2026, 2, 27), dt.date(2026, 2, 28), dt.date(2026, 3, 1), dt.date(2026, 3, 2)]
     assert temporal.calendar(frame("a date, b date", [(None, None)]), "a", "b").count() == 0
+
+
+def test_the_interval_form_equals_the_time_line(spark):
+    """Long and short versions over narrow bins, facts before, between and after versions, keys without facts, NULLs."""
+    day = F.date_add(F.lit("2020-01-01").cast("date"), (F.xxhash64("id") % 900).cast("int"))
+    facts = spark.range(4000).select("id", F.when(F.col("id") % 11 > 0, F.concat(F.lit("k"), F.col("id") % 9)).alias("k"),
+                                     F.when(F.col("id") % 13 > 0, day).alias("d"))
+    since = F.date_add(F.lit("2019-06-01").cast("date"), (F.col("id") * F.col("id") % 1500).cast("int"))
+    history = spark.range(600).select(F.concat(F.lit("k"), F.col("id") % 12).alias("k"), since.alias("s"), F.col("id").alias("v"))
+    history = history.groupBy("k", "s").agg(F.min("v").alias("v"))
+    expected = asof_left_join(facts, history, "k", "d", "s", ["v"])
+    for days in (7, 90, 5000):
+        found = interval_left_join(facts, history, "k", "d", "s", ["v"], days=days)
+        assert found.columns == expected.columns
+        assert found.count() == 4000 and found.exceptAll(expected).count() == 0
+    assert interval_left_join(facts.where("false"), history, "k", "d", "s", ["v"]).count() == 0
+    assert interval_left_join(facts, history.where("false"), "k", "d", "s", ["v"]).where("v is null").count() == 4000
+
+
+def test_versions_of_unobserved_keys_are_not_shuffled(spark):
+    facts = spark.range(50).select(F.concat(F.lit("k"), F.col("id")).alias("k"), F.lit("2026-01-05").cast("date").alias("d"))
+    dates = F.date_add(F.lit("2025-01-01").cast("date"), (F.col("id") % 300).cast("int"))
+    history = spark.range(0, 30_000, 1, 4).select(F.concat(F.lit("k"), F.col("id") % 3000).alias("k"), dates.alias("s"), "id")
+    history = history.dropDuplicates(["k", "s"]).cache()
+    assert maybe_among(history, facts, "k").select("k").distinct().count() < 60
+    plan = asof_left_join(facts, history, "k", "d", "s", ["id"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Window") < plan.index("__bits")  # the filter is below the window and its exchange
