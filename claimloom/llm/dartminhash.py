@@ -8,12 +8,14 @@ set are thrown: regions are taken in order of rank until every coordinate has on
 
 Classes. Equal texts are one node. Nodes that agree in all rows of a band meet in a bucket. In each bucket all nodes
 are compared with its most central one (that with the most company over all its buckets), which is linear in the size
-of the bucket. In buckets that then still hold several classes, pairs of different classes are compared if their
-similarity can reach the threshold, so no link is lost to the choice of a centre: by a bound that is exact, from the
-number of shingles that each has in common with other classes at all, and by one-bit sketches of their signatures. Every link is decided
-by the exact Jaccard similarity of the sets of five-word shingles; classes are the connected components of the links.
+of the bucket. Buckets that then still hold several classes get CENTRES more centres, one after the other, each compared
+with the members of other classes; near copies of one text are one class after a few. What is still apart is compared
+in pairs of different classes if the similarity can reach the threshold, so no link is lost to the choice of a centre:
+by a bound that is exact, from the number of shingles that each has in common with other classes at all, and by sketches
+of their signatures. Every link is decided by the exact Jaccard similarity of the sets of five-word shingles;
+classes are the connected components of the links.
 
-At similarity 0.8 a pair misses all BANDS bands with probability 2e-5; SKETCH_SLACK is 4.5 standard deviations.
+At similarity 0.8 a pair misses all BANDS bands with probability 2e-5; SKETCH_SLACK is five standard deviations (3e-7).
 
 Defined results: a null text is an empty one; texts without words are duplicates of equal texts only; texts of fewer
 than five words have one shingle, of all their words; words are compared without case and punctuation. Repeated rows
@@ -24,6 +26,8 @@ empty result; columns other than the named ones are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +39,12 @@ from claimloom.llm.shared import connected_components, joined_components, with_k
 SHINGLE = 5
 SIMILARITY = 0.8
 ROWS, BANDS = 8, 60
-SKETCH_SLACK = 78
-"""Most differing bits of 480 for a pair to be compared: 48 are expected at similarity 0.8, 96 at 0.6."""
+SKETCH_BITS = 4
+SKETCH_SLACK = 133
+"""Most differing coordinates of 480, by SKETCH_BITS bits of each, for a pair to be compared: 90 are expected at similarity
+0.8, with a standard deviation of 8.7, and 166 at 0.63."""
+CENTRES = 6
+"""Rounds of new centres for buckets that hold several classes."""
 AT_ONCE = 32
 """Sets whose darts are thrown together."""
 
@@ -189,13 +197,27 @@ def banded(signatures: np.ndarray, rows: int) -> np.ndarray:
 
 
 def sketches(signatures: np.ndarray) -> np.ndarray:
-    """One bit per coordinate, packed into 64-bit integers."""
-    bits = np.packbits((signatures & np.uint64(1)).astype(np.uint8), axis=1)
-    padded = np.zeros((len(bits), -(-bits.shape[1] // 8) * 8), np.uint8)
-    padded[:, : bits.shape[1]] = bits
+    """SKETCH_BITS bits of every coordinate, packed into 64-bit integers."""
+    few = (signatures & np.uint64(2**SKETCH_BITS - 1)).astype(np.uint8)
+    packed = (few[:, ::2] << np.uint8(SKETCH_BITS)) | few[:, 1::2]
+    padded = np.zeros((len(packed), -(-packed.shape[1] // 8) * 8), np.uint8)
+    padded[:, : packed.shape[1]] = packed
     return padded.view("<i8")
 
 
+def differing(one: str, other: str) -> F.Column:
+    """How many coordinates of two sketches differ."""
+    words = -(-ROWS * BANDS * SKETCH_BITS // 64)
+    lowest = int("1" * 16, 16)
+
+    def count(i: int) -> F.Column:
+        x = F.get(one, i).bitwiseXOR(F.get(other, i))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+        return F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 2)).bitwiseAND(F.lit(lowest)))
+
+    return reduce(add, (count(i) for i in range(words)))
+
+
 def signed(docs: DataFrame) -> DataFrame:
     """(doc_id, print, bands, sketch) per row; ``print`` identifies the text."""
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
@@ -283,6 +305,19 @@ def shared_with_others(sets: DataFrame, classes: DataFrame) -> DataFrame:
     return counted.agg(F.count("*").alias("size"), F.count("__one").alias("shared"))
 
 
+def apart(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """(key, node, class) of the buckets that hold several classes."""
+    named = members.join(classes, "node", "left").withColumn("class", F.coalesce("component", "node"))
+    mixed = named.groupBy("key").agg(F.min("class").alias("__lo"), F.max("class").alias("__hi")).where("__lo < __hi")
+    return written(named.join(mixed, "key").select("key", "node", "class"), "near-rest")
+
+
+def able_of(sets: DataFrame, rest: DataFrame, similarity: float) -> DataFrame:
+    """(node, class, size, shared) of the members that can be like one of another class at all."""
+    able = shared_with_others(sets, rest.select("node", "class").distinct())
+    return able.where(F.col("shared") >= F.col("size") * F.lit(similarity) - 1e-9)
+
+
 def classes_of(docs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
     """(node, component) of the nodes that are like another one. ``nodes``: node, doc_id, print, bands, sketch."""
     keys = nodes.select("node", F.explode("bands").alias("key"))
@@ -299,18 +334,26 @@ def classes_of(docs: DataFrame, nodes: DataFrame, similarity: float) -> DataFram
     sets = written(element_sets(docs, asked), "near-sets")
     first = written(verified(to_centre.distinct(), sets, similarity), "near-links")
     classes = written(connected_components(first, "near-classes"), "near-classes")
-    named = members.join(classes, "node", "left").withColumn("class", F.coalesce("component", "node"))
-    mixed = named.groupBy("key").agg(F.min("class").alias("__lo"), F.max("class").alias("__hi")).where("__lo < __hi")
-    rest = written(named.join(mixed, "key").select("key", "node", "class"), "near-rest")
-    able = shared_with_others(sets, rest.select("node", "class").distinct())
-    able = able.where(F.col("shared") >= F.col("size") * F.lit(similarity) - 1e-9)
+    rest = apart(members, classes)
+    for turn in range(CENTRES):
+        able = able_of(sets, rest, similarity)
+        rest = written(rest.join(able.select("node"), "node", "left_semi"), "near-rest")
+        # The member with the lowest hash of the round: the same one in most of the buckets it is in.
+        order = F.struct(F.xxhash64(F.lit(turn), "node").alias("__h"), F.col("node").alias("centre"), "class")
+        chosen = rest.groupBy("key").agg(F.min(order).alias("__c")).select("key", "__c.centre", F.col("__c.class").alias("__of"))
+        tried = rest.join(chosen, "key").where(F.col("class") != F.col("__of"))
+        tried = tried.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
+        found = written(verified(tried, sets, similarity), "near-links")
+        if found.isEmpty():
+            break
+        classes = written(joined_components(classes, found, "near-classes"), "near-classes")
+        rest = apart(rest.drop("class"), classes)
+    able = able_of(sets, rest, similarity)
     rest = rest.drop("class").join(written(able.join(nodes.select("node", "sketch"), "node"), "near-able"), "node")
-    words = -(-ROWS * BANDS // 64)
     columns = ["node", "class", "sketch", "size", "shared"]
     left = rest.select("key", *(F.col(c).alias(f"{c}_a") for c in columns))
     right = rest.select("key", *(F.col(c).alias(f"{c}_b") for c in columns))
-    bits = [F.bit_count(F.get("sketch_a", i).bitwiseXOR(F.get("sketch_b", i))) for i in range(words)]
-    differ = sum(bits[1:], bits[0])
+    differ = differing("sketch_a", "sketch_b")
     # Shared elements are in both shared parts; the union has all of one set and what the other shares with no class.
     most = F.least("shared_a", "shared_b")
     least = F.col("size_a") + F.col("size_b") - F.least("shared_a", "shared_b")

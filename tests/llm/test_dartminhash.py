@@ -104,3 +104,32 @@ def test_rows_without_ids_alone(spark):
     assert found(frame) == [(None, None, 2)] * 2
     assert dartminhash.near_duplicates(frame).select(F.count_if("keeps")).first()[0] == 2
     assert dartminhash.deduplicated(frame).count() == 1
+
+
+def test_a_large_group_of_near_copies_is_compared_with_few_centres(spark, monkeypatch):
+    """Copies that each differ in some shingles from the original: pairs of them are around the threshold."""
+    base = prose(77, 400, 400)
+    rows = [(i, edited(base, i, 2 + i % 9)) for i in range(300)] + [(900 + i, prose(500 + i, 60)) for i in range(20)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    asked = []
+    plain = dartminhash.verified
+
+    def counting(pairs, sets, similarity):
+        asked.append(pairs.count())
+        return plain(pairs, sets, similarity)
+
+    monkeypatch.setattr(dartminhash, "verified", counting)
+    found = dartminhash.near_duplicates(frame).collect()
+    assert sorted((r.doc_id, r.class_id) for r in found) == sorted((d, c) for d, c, _ in classes(rows))
+    assert sum(asked) < 300 * 300 / 8
+
+
+def test_sketches_count_the_coordinates_that_differ(spark):
+    rng = np.random.default_rng(12)
+    one = rng.integers(0, 2**63, (20, 480), dtype=np.uint64)
+    other = np.where(rng.random(one.shape) < 0.3, rng.integers(0, 2**63, one.shape, dtype=np.uint64), one)
+    expected = ((one & np.uint64(15)) != (other & np.uint64(15))).sum(axis=1).tolist()
+    rows = list(zip(range(20), dartminhash.sketches(one).tolist(), dartminhash.sketches(other).tolist()))
+    frame = spark.createDataFrame(rows, "id int, x array<long>, y array<long>")
+    got = frame.orderBy("id").select(dartminhash.differing("x", "y").alias("n")).collect()
+    assert [r.n for r in got] == expected
