@@ -6,8 +6,9 @@ blocks; every block meets every shard in an equality join on the shard number, a
 
 Defined results: vectors that are null, of zero length, zero, or that hold null or non-finite components take no part;
 vectors are compared with those of their own length only; rows of equal id and vector count once; of an id with several
-vectors the shortest and then smallest one is searched, and all can be found; ties go to the smaller id; with fewer candidates than asked for all are returned; an empty table gives an empty result; columns other
-than the named ones are not read.
+vectors the shortest and then smallest one is searched, and all can be found; ties go to the smaller id; with fewer
+candidates than asked for all are returned; an empty table gives an empty result; columns other than the named ones are
+not read. Components may be of any finite size: graphs are built over vectors that are moved and scaled.
 """
 
 from __future__ import annotations
@@ -38,11 +39,11 @@ class Graph:
 
     def __init__(self, vectors: np.ndarray, links: list[np.ndarray], entry: int) -> None:
         self.vectors, self.links, self.entry = vectors, links, entry
-        self.norms = np.einsum("ij,ij->i", vectors, vectors)
 
     def distances(self, query: np.ndarray, rows: np.ndarray | list[int]) -> np.ndarray:
-        """Squared distances up to the query's own norm, which is the same for all rows."""
-        return self.norms[rows] - 2.0 * (self.vectors[rows] @ query)
+        """Squared distances. Differences are squared, as the difference of squares would cancel off the origin."""
+        apart = self.vectors[rows] - query
+        return np.einsum("ij,ij->i", apart, apart)
 
     def descend(self, query: np.ndarray, start: int, level: int) -> int:
         """The node of a level that no neighbour is nearer than."""
@@ -54,7 +55,7 @@ class Graph:
                 return start
             d = self.distances(query, near)
             i = int(d.argmin())
-            if d[i] >= best:
+            if not d[i] < best:
                 return start
             start, best = int(near[i]), float(d[i])
 
@@ -91,16 +92,17 @@ class Graph:
         return sorted((-d, n) for d, n in found)
 
 
-def choose(graph: Graph, found: list[tuple[float, int]], own: float, most: int) -> list[int]:
+def choose(graph: Graph, found: list[tuple[float, int]], node: np.ndarray, most: int) -> list[int]:
     """Neighbours that are nearer to the node than to any neighbour chosen before; then the nearest others."""
     rows = np.array([n for _, n in found])
-    vectors = graph.vectors[rows]
-    between = graph.norms[rows][:, None] + graph.norms[rows][None, :] - 2.0 * (vectors @ vectors.T)
+    vectors = graph.vectors[rows] - node  # around the node, so that what cancels is no larger than the neighbourhood
+    norms = np.einsum("ij,ij->i", vectors, vectors)
+    between = norms[:, None] + norms[None, :] - 2.0 * (vectors @ vectors.T)
     chosen: list[int] = []
     for i, (d, _) in enumerate(found):
         if len(chosen) == most:
             break
-        if not chosen or d + own < between[i, chosen].min():
+        if not chosen or d < between[i, chosen].min():
             chosen.append(i)
     if len(chosen) < most:
         rest = [i for i in range(len(found)) if i not in set(chosen)]
@@ -108,6 +110,35 @@ def choose(graph: Graph, found: list[tuple[float, int]], own: float, most: int)
     return rows[chosen].tolist()
 
 
+def scaled(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, tuple[int, int]]:
+    """The vectors moved to their mean and scaled by powers of two, so that their squares neither leave the doubles nor
+    vanish; with the mean and the two exponents for :func:`placed`."""
+    first = int(np.frexp(np.abs(vectors).max(initial=0.0))[1])
+    near_one = np.ldexp(vectors, -first)
+    mean = near_one.mean(axis=0)
+    second = int(np.frexp(np.abs(near_one - mean).max(initial=0.0))[1])
+    return np.ldexp(near_one - mean, -second), mean, (first, second)
+
+
+def placed(query: np.ndarray, mean: np.ndarray, exponents: tuple[int, int]) -> np.ndarray:
+    """A query among scaled vectors. One that is beyond all of them by far is drawn in, where its order of them stays."""
+    with np.errstate(over="ignore"):
+        moved = np.ldexp(np.ldexp(query, -exponents[0]) - mean, -exponents[1])
+    return np.clip(moved, -1e100, 1e100)
+
+
+def euclidean(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Distances in double precision, scaled by a power of two per row where squares would leave the doubles."""
+    with np.errstate(over="ignore"):
+        apart = vectors - query
+        power = np.frexp(np.abs(apart).max(axis=1, initial=0.0))[1]
+        far = np.abs(power) > 400
+        apart[far] = np.ldexp(apart[far], -power[far, None])
+        d = np.sqrt(np.square(apart).sum(axis=1))
+        d[far] = np.ldexp(d[far], power[far])
+    return d
+
+
 def build(vectors: np.ndarray, seed: int = 0) -> Graph:
     """Insert the vectors one by one. The same vectors in the same order give the same graph."""
     n = len(vectors)
@@ -121,14 +152,13 @@ def build(vectors: np.ndarray, seed: int = 0) -> Graph:
     highest = int(levels[0]) if n else 0
     for i in range(1, n):
         query, entry, level = vectors[i], graph.entry, int(levels[i])
-        own = float(graph.norms[i])
         for k in range(highest, level, -1):
             entry = graph.descend(query, entry, k)
         starts = [entry]
         for k in range(min(level, highest), -1, -1):
             mark += 1
             found = graph.search(query, starts, k, BREADTH_BUILD, seen, mark)
-            near = choose(graph, found, own, LINKS)
+            near = choose(graph, found, query, LINKS)
             rows = links[k]
             rows[i, : len(near)] = near
             for other in near:
@@ -140,7 +170,7 @@ def build(vectors: np.ndarray, seed: int = 0) -> Graph:
                 all_ = np.append(row, i)
                 d = graph.distances(vectors[other], all_)
                 order = np.lexsort((all_, d))
-                kept = choose(graph, [(float(d[o]), int(all_[o])) for o in order], float(graph.norms[other]), len(row))
+                kept = choose(graph, [(float(d[o]), int(all_[o])) for o in order], vectors[other], len(row))
                 rows[other] = -1
                 rows[other, : len(kept)] = kept
             starts = [node for _, node in found]
@@ -179,7 +209,7 @@ def build_index(points: DataFrame, k: int, shard_rows: int = SHARD_ROWS) -> Data
         first = np.array([ids[0] for ids in frame["ids"]])
         frame = frame.iloc[np.argsort(first, kind="stable")]
         exact = np.stack(frame["embedding"].to_list()).astype("<f8")
-        graph = build(exact)
+        graph = build(scaled(exact)[0])
         ids = [np.asarray(i, "<i8") for i in frame["ids"]]
         starts = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype("<i8")
         row = {
@@ -226,16 +256,18 @@ def search(index: DataFrame, queries: DataFrame, k: int, breadth: int = BREADTH_
         for width in np.frombuffer(row.levels, "<i4").tolist():
             links.append(flat[at : at + width * row.n].reshape(row.n, width))
             at += width * row.n
-        graph = Graph(vectors, links, row.entry)
+        points, mean, exponents = scaled(vectors)
+        graph = Graph(points, links, row.entry)
         seen = np.full(row.n, -1, np.int64)
         out: list[tuple[int, int, float]] = []
         for mark, q in enumerate(row.queries):
-            own, query = q["vec_id"], np.asarray(q["embedding"], "f8")
+            own, original = q["vec_id"], np.asarray(q["embedding"], "f8")
+            query = placed(original, mean, exponents)
             node = graph.entry
             for level in range(len(links) - 1, 0, -1):
                 node = graph.descend(query, node, level)
             nodes = np.array([n for _, n in graph.search(query, [node], 0, max(breadth, 2 * k), seen, mark)])
-            exact = np.sqrt(np.square(vectors[nodes] - query).sum(axis=1))
+            exact = euclidean(vectors[nodes], original)
             near = [(d, i) for d, n in zip(exact.tolist(), nodes) for i in ids[starts[n] : starts[n + 1]].tolist()]
             out += [(own, i, d) for d, i in heapq.nsmallest(k, ((d, i) for d, i in near if i != own))]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])

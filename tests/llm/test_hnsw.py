@@ -80,3 +80,37 @@ def test_repeated_rows_do_not_crowd_out_other_ids(spark):
     found = hnsw.nearest(frame, frame, k=3).collect()
     assert [r.vec_id for r in sorted(found, key=lambda r: r["rank"]) if r.query_id == 1] == [2, 3, 4]
     assert min(r.score for r in found if r.query_id == 4) == 2**0.5
+
+
+@pytest.mark.parametrize("scale, away", [(1e200, 0.0), (1e-200, 0.0), (1e300, 0.0), (1.0, 1e9), (1e-5, 1e3)])
+def test_recall_of_any_size_and_off_the_origin(spark, scale, away):
+    rng = np.random.default_rng(8)
+    vectors = rng.normal(size=(1000, 8)) * scale + away
+    vectors[500:] -= 2 * away  # two clouds on both sides of the origin
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = {}
+    for r in hnsw.nearest(frame, frame.where("vec_id % 100 = 0"), 10).collect():
+        found.setdefault(r.query_id, {})[r.vec_id] = r.score
+    hits = 0
+    for q, got in found.items():
+        exact = np.sqrt(np.square((vectors - vectors[q]) / scale).sum(axis=1)) * scale
+        order = [i for i in exact.argsort(kind="stable") if i != q][:10]
+        hits += len(set(order) & set(got))
+        assert all(got[i] == pytest.approx(exact[i], rel=1e-9) for i in got)
+    assert len(found) == 10 and hits >= 90
+
+
+def test_recall_of_three_full_shards(spark):
+    """Production parameters: 24,576 Gaussian vectors of 32 components, the hard case of no clusters at all."""
+    rng = np.random.default_rng(9)
+    vectors = rng.normal(size=(3 * hnsw.SHARD_ROWS, 32))
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(8)
+    found = hnsw.nearest(frame, frame.where("vec_id % 500 = 0"), 10).collect()
+    hits = 0
+    for q in range(0, len(vectors), 500):
+        d = np.square(vectors - vectors[q]).sum(axis=1)
+        d[q] = np.inf
+        hits += len(set(d.argsort()[:10].tolist()) & {r.vec_id for r in found if r.query_id == q})
+    assert hits >= 0.9 * 10 * len(range(0, len(vectors), 500))
