@@ -5,8 +5,8 @@ it. A text is parsed against a sample into phrases, each the longest match with
 phrases, the closer the language. The language with the fewest normalised phrases (phrases times the bits of a place
 in the sample, per character) wins.
 
-The alphabet is every character of the samples. Texts are parsed whole. Long ones are cut into stretches of STRETCH characters that are parsed side by side, for all
-languages alike.
+The alphabet is every character of the samples. Texts are parsed whole. Long ones are cut into stretches of STRETCH
+characters that are parsed side by side, for all languages alike.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0, as is every text if nothing can be
 learned; ties go to the language that sorts first; repeated rows are predicted alike; rows without an id are never
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 SAMPLE_CHARS = 24_000
-"""Characters learned per language; every language is given as many, or what there is."""
+"""Characters learned per language, or what there is; the bits of a place make up for samples of other lengths."""
 SAMPLE_DOCUMENTS = 64
 """Documents that the characters of a language are taken from, evenly."""
 SYMBOLS = 96
@@ -69,8 +69,7 @@ def samples(docs: DataFrame) -> dict[str, str]:
     for r in sorted(texts, key=lambda r: (r.lang, r.doc_id, r.t)):
         found.setdefault(r.lang, []).append(r.t)
     joined = {lang: "\n".join(parts)[:SAMPLE_CHARS].lower() for lang, parts in found.items()}
-    shortest = max(1, min((len(t) for t in joined.values() if LETTER.search(t)), default=1))
-    return {lang: t[:shortest] if shortest >= SAMPLE_CHARS // 4 else t for lang, t in sorted(joined.items()) if t}
+    return {lang: t for lang, t in sorted(joined.items()) if t}
 
 
 def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
