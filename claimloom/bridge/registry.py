@@ -22,7 +22,7 @@ from claimloom.operators.assertions import count_violations, repeated_keys, unre
 from claimloom.operators.classify import repeated_ids
 from claimloom.operators.joins import attach
 from claimloom.operators.temporal import asof_left_join, calendar, earliest_with_count, interval_left_join, one_per_key
-from claimloom.plans import checks, economics, reports, scenarios
+from claimloom.plans import checks, economics, grid, reports, scenarios
 from claimloom.plans.warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -169,6 +169,10 @@ _over_warehouse(
 _over_warehouse(
     lambda wh: scenarios.reprice_band(wh.claim_outcome, wh.stg_partners, 1_000_000, 0.05), "scenario_reprice_band"
 )
+GRID = [n / 40 for n in range(1, 21)]
+"""Rates of the scenario grids."""
+_over_warehouse(lambda wh: grid.partner_terms_grid(wh.claim_outcome, wh.stg_partners, "3-MEDIUM", GRID), "scenario_terms_grid")
+_over_warehouse(lambda wh: grid.reprice_band_grid(wh.claim_outcome, wh.stg_partners, 1_000_000, GRID), "scenario_reprice_grid")
 _over_warehouse(lambda wh: scenarios.channel_levers(wh.claim_outcome, wh.fct_lookup), "channel_levers")
 
 # Reports. Those that show no cost read the claims without it.
