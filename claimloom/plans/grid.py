@@ -1,10 +1,10 @@
 """A whole grid of what-if rates from one pass over the claims.
 
 What is kept of a claim's fee is piecewise linear in the rate that is varied, but for the rounding to cents: up to a
-break point it changes with the rate, beyond it it stands still. Rounding makes it a step function, so a claim moves by
-one cent at a time. Instead of splitting every claim again for every rate, each claim is put out once per cent step that
-lies inside the grid, no more than the grid has rates, as the index of the first rate from which the step holds; equal
-steps are added up at once, and a running sum over the few rates of the grid answers them all.
+break point it changes with the rate, beyond it it stands still. The claims are read and joined to their terms once for
+all rates. One expression per claim gives what is kept at every rate of the grid; only the rates at which it changes
+become rows, with the change, so a claim beyond its break point adds none. The changes are added up per partner and
+rate before the shuffle, and a running sum over the few rates of the grid answers them all.
 
 With ``rates`` ascending, the rows are those of the scenarios of ``scenarios.py`` for each rate.
 """
