@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimloom.llm.shared import connected_components, joined_components, with_keys, written
+from claimloom.llm.shared import connected_components, joined_components, spare_prefix, with_keys, written
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -397,10 +397,12 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """One document of every class, that of the smallest id; the columns of the input."""
-    kept = near_duplicates(docs).where("keeps").select(F.struct("doc_id", "print").alias("__k")).distinct()
-    keyed = docs.withColumns({"__id": F.col("doc_id"), "__print": F.sha2(F.coalesce("text", F.lit("")), 256)})
-    same = F.col("__id").eqNullSafe(F.col("__k.doc_id")) & (F.col("__print") == F.col("__k.print"))
+    p = spare_prefix(docs.columns)
+    id_, print_, key, turn = (p + n for n in ("id", "print", "key", "turn"))
+    kept = near_duplicates(docs).where("keeps").select(F.struct("doc_id", "print").alias(key)).distinct()
+    keyed = docs.withColumns({id_: F.col("doc_id"), print_: F.sha2(F.coalesce("text", F.lit("")), 256)})
+    same = F.col(id_).eqNullSafe(F.col(f"{key}.doc_id")) & (F.col(print_) == F.col(f"{key}.print"))
     found = keyed.join(kept, same, "left_semi")
     # Repeated rows: the same text under the same id, once.
-    nth = F.row_number().over(Window.partitionBy("__id", "__print").orderBy("__print"))
-    return found.withColumn("__n", nth).where("__n = 1").select(*docs.columns)
+    nth = F.row_number().over(Window.partitionBy(id_, print_).orderBy(print_))
+    return found.withColumn(turn, nth).where(F.col(turn) == 1).select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimloom.llm.quality import words_of
-from claimloom.llm.shared import with_running_start, written
+from claimloom.llm.shared import spare_prefix, with_running_start, written
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -103,7 +103,7 @@ def schedule(of_sources: DataFrame, total: float, block: int) -> DataFrame:
     """
     spark = of_sources.sparkSession
     n = -int(-total // block)
-    # The point of a slot in (0, 1), scaled to the cumulative targets. One row per source is broadcast.
+    # The point of a slot in (0, 1), scaled to the cumulative targets.
     points = spark.range(0, n).select(
         F.col("id").alias("slot"), (F.pmod((F.col("id") + 0.5) * F.lit(GOLDEN), F.lit(1.0)) * F.lit(total)).alias("x")
     )
@@ -120,7 +120,7 @@ def schedule(of_sources: DataFrame, total: float, block: int) -> DataFrame:
     ranked = written(with_running_start(flat, ["source"], "__range", ["slot"], F.lit(1), "block").drop("__range"), "mix-slots")
     have = ranked.groupBy(F.col("source").alias("__source")).agg(F.count("*").alias("have"))
     need = F.expr(f"(cast(round(target) as long) + {block - 1}) div {block}")
-    short = of_sources.join(F.broadcast(have), F.col("source").eqNullSafe(F.col("__source")), "left")
+    short = of_sources.join(have, F.col("source").eqNullSafe(F.col("__source")), "left")
     short = short.select("source", F.coalesce("have", F.lit(0)).cast("long").alias("have"), need.alias("need"))
     missing = short.where("have < need").select("source", F.explode(F.expr("sequence(have, need - 1)")).alias("block"))
     # A source's points are off its share by a few slots only, so this is a few rows per source.
@@ -151,7 +151,7 @@ def mix(docs: DataFrame) -> DataFrame:
     slots = schedule(of_sources, float(totals[0]), block)
     placed = written(stream(sized), "mix-stream")
     known = of_sources.select(F.col("source").alias("__source"), "source_size", "target")
-    rows = placed.join(F.broadcast(known), F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
+    rows = placed.join(known, F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
     # The pieces of a document in the blocks of both passes over its stream, up to the target.
     passes = rows.where("size > 0").withColumn("__pass", F.explode(F.sequence(F.lit(0), F.lit(MAX_EPOCHS - 1))))
     begin = F.col("start") + F.col("__pass") * F.col("source_size")
@@ -190,10 +190,13 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     """
     copies = F.expr("(2 * taken + size) div (2 * size)")
     per_text = mix(docs).where("size > 0").groupBy("doc_id", "print").agg(F.array_sort(F.collect_list(copies)).alias("__n"))
-    keyed = docs.withColumns({"__id": F.col("doc_id"), "__print": F.xxhash64("text")})
-    same = F.col("__id").eqNullSafe(F.col("__m.doc_id")) & (F.col("__print") == F.col("__m.print"))
-    found = keyed.join(per_text.select(F.struct("doc_id", "print").alias("__m"), "__n"), same)
+    p = spare_prefix(docs.columns)
+    id_, print_, key, each, times, copy = (p + n for n in ("id", "print", "key", "each", "times", "copy"))
+    keyed = docs.withColumns({id_: F.col("doc_id"), print_: F.xxhash64("text")})
+    same = F.col(id_).eqNullSafe(F.col(f"{key}.doc_id")) & (F.col(print_) == F.col(f"{key}.print"))
+    found = keyed.join(per_text.select(F.struct("doc_id", "print").alias(key), F.col("__n").alias(each)), same)
     # Repeated rows share a list with one entry each.
-    nth = F.row_number().over(Window.partitionBy("__id", "__print").orderBy("__print"))
-    times = found.withColumn("__times", F.element_at("__n", nth)).where("__times > 0")
-    return times.withColumn("__copy", F.explode(F.expr("sequence(1, __times)"))).select(*docs.columns)
+    nth = F.row_number().over(Window.partitionBy(id_, print_).orderBy(print_))
+    read = found.withColumn(times, F.element_at(each, nth)).where(F.col(times) > 0)
+    copies = read.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times).cast("int"))))
+    return copies.select(*(F.col(f"`{c}`") for c in docs.columns))

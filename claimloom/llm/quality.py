@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.shared import WORD_SEPARATORS
+from claimloom.llm.shared import WORD_SEPARATORS, set_aside, spare_prefix
 
 MAX_LOST_SHARE = 0.5
 """A document losing more than this share of its words with its failing lines is rejected."""
@@ -60,53 +60,57 @@ def line_fails(line: Column) -> Column:
 def judge(docs: DataFrame, text: str = "text", max_lost_share: float = MAX_LOST_SHARE) -> DataFrame:
     """Add n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, n_lost_words, kept, cleaned."""
     source = F.coalesce(F.col(text), F.lit(""))
-    base = [c for c in docs.columns if c not in RESULTS]
+    base = [c for c in docs.columns if c.lower() not in RESULTS]
     keep = [F.col(f"`{c}`") for c in base]
+    prefix = spare_prefix(docs.columns)
+    words_, lines_, full_, bad_, hashes_, win_, pairs_, at_ = (
+        prefix + n for n in ("words", "lines", "full", "bad", "hashes", "win", "pairs", "at")
+    )
     split = docs.select(
         *keep,
-        words_of(F.col(text)).alias("__words"),
-        F.split(source, "\n", -1).alias("__lines"),
+        words_of(F.col(text)).alias(words_),
+        F.split(source, "\n", -1).alias(lines_),
         F.length(F.regexp_replace(source, r"[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
     )
     counted = split.select(
         *keep,
         "n_symbols",
-        "__lines",
-        F.size("__words").cast("long").alias("n_words"),
-        F.length(F.array_join("__words", "")).cast("long").alias("word_chars"),
-        F.filter("__lines", lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("__full"),
-        F.filter("__lines", line_fails).alias("__bad"),
-        F.transform("__words", lambda w: F.xxhash64(w)).alias("__h"),
+        lines_,
+        F.size(words_).cast("long").alias("n_words"),
+        F.length(F.array_join(words_, "")).cast("long").alias("word_chars"),
+        F.filter(lines_, lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias(full_),
+        F.filter(lines_, line_fails).alias(bad_),
+        F.transform(words_, lambda w: F.xxhash64(w)).alias(hashes_),
     )
     # Windows of five words as hashes; collisions could only matter inside one document, at 2^-64 a pair.
     windows = F.transform(
         F.sequence(F.lit(0), F.col("n_words").cast("int") - WINDOW),
-        lambda i: F.xxhash64(*(F.get("__h", i + k) for k in range(WINDOW))),
+        lambda i: F.xxhash64(*(F.get(hashes_, i + k) for k in range(WINDOW))),
     )
     windowed = counted.select(
         *keep,
         "n_symbols",
         "n_words",
         "word_chars",
-        "__lines",
-        "__bad",
-        (F.size("__full") - F.size(F.array_distinct("__full"))).cast("long").alias("n_dup_lines"),
-        F.when(F.col("n_words") >= WINDOW, windows).otherwise(F.array().cast("array<bigint>")).alias("__win"),
+        lines_,
+        bad_,
+        (F.size(full_) - F.size(F.array_distinct(full_))).cast("long").alias("n_dup_lines"),
+        F.when(F.col("n_words") >= WINDOW, windows).otherwise(F.array().cast("array<bigint>")).alias(win_),
     )
     # Only texts with a repeated window sort their windows, to find the places of those that repeat.
-    repeats = F.size(F.array_distinct("__win")) < F.size("__win")
-    pairs = F.array_sort(F.transform("__win", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    sorted_ = windowed.withColumn("__pairs", F.when(repeats, pairs)).drop("__win")
+    repeats = F.size(F.array_distinct(win_)) < F.size(win_)
+    pairs = F.array_sort(F.transform(win_, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    sorted_ = windowed.withColumn(pairs_, F.when(repeats, pairs)).drop(win_)
     twice = F.filter(
-        "__pairs",
-        lambda p, j: F.coalesce(F.get("__pairs", j - 1)["h"] == p["h"], F.lit(False))
-        | F.coalesce(F.get("__pairs", j + 1)["h"] == p["h"], F.lit(False)),
+        pairs_,
+        lambda p, j: F.coalesce(F.get(pairs_, j - 1)["h"] == p["h"], F.lit(False))
+        | F.coalesce(F.get(pairs_, j + 1)["h"] == p["h"], F.lit(False)),
     )
-    places = sorted_.withColumn("__at", F.array_sort(F.transform(twice, lambda p: p["i"]))).drop("__pairs")
+    places = sorted_.withColumn(at_, F.array_sort(F.transform(twice, lambda p: p["i"]))).drop(pairs_)
     covered = F.transform(
-        "__at", lambda p, j: F.least(F.lit(WINDOW), F.coalesce(F.get("__at", j + 1) - p, F.lit(WINDOW)))
+        at_, lambda p, j: F.least(F.lit(WINDOW), F.coalesce(F.get(at_, j + 1) - p, F.lit(WINDOW)))
     )
-    lost = F.aggregate("__bad", F.lit(0), lambda n, x: n + F.size(words_of(x)))
+    lost = F.aggregate(bad_, F.lit(0), lambda n, x: n + F.size(words_of(x)))
     measured = places.select(
         *keep,
         "n_words",
@@ -115,8 +119,8 @@ def judge(docs: DataFrame, text: str = "text", max_lost_share: float = MAX_LOST_
         "n_dup_lines",
         F.coalesce(F.aggregate(covered, F.lit(0), lambda n, x: n + x), F.lit(0)).cast("long").alias("n_repeat_words"),
         lost.cast("long").alias("n_lost_words"),
-        F.when(F.size("__bad") == 0, F.col(f"`{text}`"))
-        .otherwise(F.array_join(F.filter("__lines", lambda x: ~line_fails(x)), "\n"))
+        F.when(F.size(bad_) == 0, F.col(f"`{text}`"))
+        .otherwise(F.array_join(F.filter(lines_, lambda x: ~line_fails(x)), "\n"))
         .alias("cleaned"),
     )
     failed = (F.col("n_words") < 10) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 20)
@@ -138,9 +142,13 @@ RESULTS = [
 
 
 def clean(docs: DataFrame) -> DataFrame:
-    """The documents that are kept, without their failing lines; the columns of the input."""
-    judged = judge(docs.withColumn("__n_chars", F.col("n_chars")))
+    """The documents that are kept, without their failing lines; the columns of the input, whatever their names.
+    ``n_chars``, if there is such a column, is counted anew where lines are gone."""
+    p = spare_prefix(docs.columns)
+    given, names = set_aside(docs, RESULTS, p)
     # A generator, not a filter: the optimizer would copy the rules into a filter below every step of the judgement.
-    kept = judged.withColumn("__kept", F.explode(F.when(F.col("kept"), F.array(F.lit(True)))))
-    n_chars = F.when(F.col("n_lost_words") == 0, F.col("__n_chars")).otherwise(F.length("cleaned"))
-    return kept.withColumn("n_chars", n_chars.cast("long")).withColumn("text", F.col("cleaned")).select(*docs.columns)
+    kept = judge(given).withColumn(f"{p}once", F.explode(F.when(F.col("kept"), F.array(F.lit(True)))))
+    new = {"text": F.col("cleaned")}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(F.col("n_lost_words") == 0, F.col("n_chars")).otherwise(F.length("cleaned")).cast("long")
+    return kept.select(*(new.get(c, F.col(f"`{n}`")).alias(c) for c, n in names.items()))

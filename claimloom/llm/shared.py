@@ -43,11 +43,37 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+"""Spark's own setting: an execution's shuffle files go when it has ended."""
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it back: cuts the lineage, and a lost executor loses nothing."""
-    path = new_folder(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write a table to the shared folder and read it back: cuts the lineage, and a lost executor loses nothing.
+
+    What the write shuffled is read by nobody else, so it leaves the executors' disks with it.
+    """
+    spark, path = df.sparkSession, new_folder(df.sparkSession, name)
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def spare_prefix(columns: Sequence[str]) -> str:
+    """How no column's name begins, for names beside them."""
+    prefix = "__"
+    while any(c.lower().startswith(prefix) for c in columns):
+        prefix += "_"
+    return prefix
+
+
+def set_aside(docs: DataFrame, results: Sequence[str], prefix: str) -> tuple[DataFrame, dict[str, str]]:
+    """The table with the columns that are named as a result renamed, and every column's name by its former one."""
+    names = {c: prefix + c if c.lower() in results else c for c in docs.columns}
+    return docs.withColumnsRenamed({c: n for c, n in names.items() if c != n}), names
 
 
 def with_running_start(
