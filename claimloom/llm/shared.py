@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -47,21 +48,34 @@ SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 """Spark's own setting: an execution's shuffle files go when it has ended."""
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it back: cuts the lineage, and a lost executor loses nothing.
-
-    What the write shuffled is read by nobody else, so it leaves the executors' disks with it.
-    """
-    spark, path = df.sparkSession, new_folder(df.sparkSession, name)
+@contextmanager
+def own_shuffles(spark: SparkSession) -> Iterator[None]:
+    """What is executed inside shares its shuffles with nothing else, so they leave the executors' disks with it."""
     before = spark.conf.get(SHUFFLE_CLEANUP)
     spark.conf.set(SHUFFLE_CLEANUP, "true")
     try:
-        df.write.option("compression", "zstd").parquet(path)
+        yield
     finally:
         spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared folder and read it back: cuts the lineage, and a lost executor loses nothing."""
+    spark, path = df.sparkSession, new_folder(df.sparkSession, name)
+    with own_shuffles(spark):
+        df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of :func:`written` that nothing reads again: all that was computed from them is written itself."""
+    for t in tables:
+        spark, files = t.sparkSession, t.inputFiles()
+        if files:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(files[0])).getParent()
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def spare_prefix(columns: Sequence[str]) -> str:
     """How no column's name begins, for names beside them."""
     prefix = "__"
@@ -106,7 +120,8 @@ def only_stars(edges: DataFrame) -> bool:
     ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
     ends = ends.union(edges.select("b", F.lit(0), F.lit(1)))
     per_node = ends.groupBy("node").agg(F.max("up").alias("up"), F.sum("down").alias("down"))
-    return per_node.where("down > 1 or (down = 1 and up = 1)").isEmpty()
+    with own_shuffles(edges.sparkSession):
+        return per_node.where("down > 1 or (down = 1 and up = 1)").isEmpty()
 
 
 def joined_components(first: DataFrame, more: DataFrame, name: str) -> DataFrame:
