@@ -22,7 +22,7 @@ from claimloom.operators.assertions import count_violations, repeated_keys, unre
 from claimloom.operators.classify import repeated_ids
 from claimloom.operators.joins import attach
 from claimloom.operators.temporal import asof_left_join, calendar, earliest_with_count, interval_left_join, one_per_key
-from claimloom.plans import checks, economics, grid, reports, scenarios
+from claimloom.plans import checks, economics, grid, marts, reports, scenarios
 from claimloom.plans.warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -185,6 +185,12 @@ _over_warehouse(lambda wh: reports.reject_audit(wh.dq_rejects), "reject_audit")
 _over_warehouse(lambda wh: reports.value_bands(wh.claim_outcome), "value_bands")
 _over_warehouse(lambda wh: reports.weekly_reversal_rate(wh.mart_funnel_daily), "weekly_reversal_rate")
 _over_warehouse(lambda wh: reports.reversal_cost(wh.claim_outcome), "reversal_cost")
+_over_warehouse(
+    lambda wh: reports.weekly_distinct_checked(marts.sketches_daily(wh.claim_outcome), wh.claim_outcome), "distinct_sketches"
+)
+_over_warehouse(
+    lambda wh: reports.median_hours_checked(marts.sketches_daily(wh.claim_outcome), wh.claim_outcome), "quantile_sketches"
+)
 _over_warehouse(lambda wh: reports.cross_month_reversals(wh.claim_outcome), "cross_month_reversals")
 _over_warehouse(lambda wh: reports.top_generic_savings(wh.mart_drug_economics), "top_generic_savings")
 _over_warehouse(lambda wh: reports.chain_partner_pivot(wh.claim_outcome, views.PIVOT_COLUMNS), "chain_partner_pivot")

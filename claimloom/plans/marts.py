@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimloom.functions import safe_ratio, with_calendar
+from claimloom.operators import sketches
 from claimloom.operators.joins import attach
 
 
@@ -108,6 +109,17 @@ def drug_economics(drugs: DataFrame, claim_facts: DataFrame, lookup_facts: DataF
     )
 
 
+def sketches_daily(claim_facts: DataFrame) -> DataFrame:
+    """Per fill day and partner: sketches of pharmacies, drugs and hours to reversal, to be merged for any period."""
+    return claim_facts.groupBy(F.col("filled_date").alias("date_day"), "partner").agg(
+        F.count("*").alias("claims"),
+        F.count("hours_to_revert").alias("reversals"),
+        sketches.distinct_sketch("pharmacy_npi").alias("pharmacies_sketch"),
+        sketches.distinct_sketch("ndc").alias("drugs_sketch"),
+        sketches.quantile_sketch("hours_to_revert").alias("hours_sketch"),
+    )
+
+
 FUNNEL_KEYS = ["date_day", "partner", "channel"]
 FUNNEL_MEASURES = [
     "lookups",

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimloom.functions import safe_ratio
+from claimloom.operators import sketches
+from claimloom.operators.joins import attach
 from claimloom.operators.classify import first_match
 from claimloom.operators.reshape import pivot_sum, to_long, top, with_share_of_total
 from claimloom.plans.dims import SYNTHETIC_PARTNERS
@@ -161,6 +163,48 @@ def reversal_cost(claim_facts: DataFrame) -> DataFrame:
     )
 
 
+def weekly_distinct(daily_sketches: DataFrame) -> DataFrame:
+    """Estimated distinct pharmacies and drugs per week and partner, from the daily sketches alone."""
+    week = F.trunc("date_day", "week").alias("week_start")
+    merged = sketches.merged(daily_sketches, [week, "partner"], ["pharmacies_sketch", "drugs_sketch"], sums=["claims"])
+    return sketches.distinct_estimates(merged, {"pharmacies_sketch": "pharmacies", "drugs_sketch": "drugs"})
+
+
+def median_hours(daily_sketches: DataFrame) -> DataFrame:
+    """Estimated median hours to a reversal per partner, from the daily sketches alone."""
+    merged = sketches.merged(daily_sketches, ["partner"], quantiles=["hours_sketch"], sums=["reversals"])
+    return merged.select("partner", "reversals", sketches.quantile("hours_sketch", 0.5, "reversals").alias("median_hours"))
+
+
+def weekly_distinct_checked(daily_sketches: DataFrame, claim_facts: DataFrame) -> DataFrame:
+    """The weekly estimates beside exact counts: whether each is within its error."""
+    week = F.trunc("filled_date", "week").alias("week_start")
+    exact = claim_facts.groupBy(week, "partner").agg(
+        F.count_distinct("pharmacy_npi").alias("exact_pharmacies"), F.count_distinct("ndc").alias("exact_drugs")
+    )
+    both = weekly_distinct(daily_sketches).join(exact, ["week_start", "partner"])
+    return both.select(
+        "week_start",
+        "partner",
+        "claims",
+        "exact_pharmacies",
+        "exact_drugs",
+        sketches.near_distinct("pharmacies", "exact_pharmacies").alias("pharmacies_near"),
+        sketches.near_distinct("drugs", "exact_drugs").alias("drugs_near"),
+    )
+
+
+def median_hours_checked(daily_sketches: DataFrame, claim_facts: DataFrame) -> DataFrame:
+    """Per partner whether the estimated median has a rank near one half among the claims' own hours."""
+    placed = attach(claim_facts.where("hours_to_revert IS NOT NULL"), median_hours(daily_sketches).drop("reversals"), "partner")
+    ranked = placed.groupBy("partner").agg(
+        F.count("*").alias("reversals"),
+        F.count_if(F.col("hours_to_revert") < F.col("median_hours")).alias("below"),
+        F.count_if(F.col("hours_to_revert") <= F.col("median_hours")).alias("upto"),
+    )
+    return ranked.select("partner", "reversals", sketches.near_rank("below", "upto", "reversals", 0.5).alias("median_near"))
+
+
 def cross_month_reversals(claim_facts: DataFrame) -> DataFrame:
     """Reversals per fill month, and how many of them came in another month than the fill."""
     other = "count_if(trunc(reverted_at, 'month') <> trunc(filled_date, 'month'))"
