@@ -6,7 +6,8 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from claimloom.operators.classify import first_match, relabel
+from claimloom.operators.classify import first_match, relabel, with_occurrences, with_repeats
+from claimloom.operators.joins import attach
 from claimloom.plans import quarantine, staging
 
 CLAIM = "id string, npi string, ndc string, price string, quantity string, pbm_fee string, timestamp string, _source_file string"
@@ -197,3 +198,27 @@ def test_payload_keeps_null_fields(frame):
         '{"id":"a","npi":"1","ndc":null,"price":"6.15","quantity":"30","pbm_fee":"2.48","timestamp":"2026-05-01T10:00:00"}'
     )
     assert (row.detected_in, row.defect_class) == ("staging", "malformed")
+
+
+def test_occurrences_count_rows_without_id_as_one_id(frame):
+    df = frame("k string, n int", [("a", 1), ("a", 2), ("b", 3), (None, 4), (None, 5), (None, 6)])
+    assert rows(with_occurrences(df, "k")) == sorted(
+        [("a", 1, 2), ("a", 2, 2), ("b", 3, 1), (None, 4, 3), (None, 5, 3), (None, 6, 3)], key=repr
+    )
+
+
+def test_rows_stay_in_place_for_the_next_join_on_the_id(frame):
+    """One shuffle each of the rows, their counts and the other table."""
+    df = frame("k string, n int", [("a", 1), ("b", 2)])
+    other = frame("k string, m int", [("a", 1)])
+    plan = attach(with_repeats(df, "k"), other, "k")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 3
+
+
+def test_raw_texts_are_not_shuffled_where_only_the_rules_read_them(spark):
+    raw = spark.range(5).selectExpr(
+        "string(id) id", "'1' npi", "'2' ndc", "string(id) price", "'1' quantity", "'1' pbm_fee",
+        "'2026-01-01' timestamp", "'f' _source_file",
+    )
+    plan = staging.claims(raw).select("claim_id", "dq_reject_reason")._jdf.queryExecution().executedPlan().toString()
+    assert "price_raw" not in plan
