@@ -124,3 +124,36 @@ def test_conservation_counts_the_real_fact(spark):
 def test_pruning_reaches_the_scan(spark):
     plan = registry.QUERIES["duplicate_ids"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int>" in plan
+
+
+def test_few_parts_are_dealt_by_hash_and_many_are_read_as_they_are(spark, tmp_path):
+    """A round-robin deal would sort the whole table in the task that reads it."""
+    table = spark.range(1000).selectExpr("id", "id % 7 AS k")
+    for name, parts in (("one", 1), ("many", 40)):
+        table.repartition(parts).write.parquet(str(tmp_path / name))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        one, many = (views.dealt(spark.read.parquet(str(tmp_path / n)), "id") for n in ("one", "many"))
+        plans = [df._jdf.queryExecution().executedPlan().toString() for df in (one, many)]
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert "hashpartitioning(id" in plans[0] and "RoundRobin" not in plans[0]
+    assert "Exchange" not in plans[1]
+    assert one.count() == many.count() == 1000
+
+
+@pytest.mark.parametrize("name", ["split_violations", "net_zero_violations", "row_conservation", "enum_violations"])
+def test_tables_read_once_are_not_kept(spark, name):
+    spark.catalog.clearCache()
+    plan = registry.QUERIES[name](spark, contract.SMOKE_DIR)._jdf.queryExecution().withCachedData().toString()
+    assert "InMemoryRelation" not in plan
+
+
+def test_kept_claims_have_no_raw_texts(spark):
+    spark.catalog.clearCache()
+    plan = registry.QUERIES["key_violations"](spark, contract.SMOKE_DIR)._jdf.queryExecution().withCachedData().toString()
+    kept = [line for line in plan.splitlines() if "InMemoryRelation" in line]
+    spark.catalog.clearCache()
+    assert kept and not any("price_raw" in line for line in kept)
