@@ -67,3 +67,21 @@ def test_rows_are_shuffled_by_claim_id_into_the_parts_only(spark, tables):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert set(re.findall(r"hashpartitioning\(claim_id#\d+, (\d+)\)", plan)) == {"7"}
+
+
+@pytest.mark.parametrize("resolve, shuffles", [(temporal.asof_left_join, 3), (temporal.interval_left_join, 3)])
+def test_the_facts_are_shuffled_once_for_their_keys(frame, resolve, shuffles):
+    """Of a join behind the facts, the filter of the history and the pairs or the last day read one shuffle. The others
+    are those of whole rows and of ``known``."""
+    dated = frame("id bigint, k string, day int, w string", [(i, f"k{i % 5}", i, "w") for i in range(50)])
+    dated = dated.withColumn("d", F.date_add(F.lit("2024-01-01").cast("date"), F.col("day")))
+    known = frame("id bigint, n bigint", [(i, 1) for i in range(40)])
+    known = joins.spread(known, "id", 7).groupBy("id").agg(F.sum("n").alias("n"))
+    joined = joins.attach(joins.spread(dated, "id", 7), known, "id").where("coalesce(n, 0) < 2")
+    history = frame("k string, v string", [(f"k{i}", "v") for i in range(9)])
+    history = history.withColumn("s", F.lit("2024-01-05").cast("date"))
+    found = resolve(joined, history, "k", "d", "s", ["v"], parts=7)
+    executed = found._jdf.queryExecution().executedPlan()
+    assert executed.execute().count() == 50
+    made = r"ShuffleQueryStage \d+\n[ :+-]*Exchange hashpartitioning\(id#\d+L, 7\), REPARTITION_BY_NUM"
+    assert len(re.findall(made, executed.toString())) == shuffles
