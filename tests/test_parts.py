@@ -7,7 +7,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from claimloom.operators import classify, joins, temporal
-from claimloom.plans import economics, facts, staging
+from claimloom.plans import economics, facts, scope, staging
 
 CLAIMS = "id string, npi string, ndc string, price string, quantity string, pbm_fee string, timestamp string, _source_file string"
 LOOKUPS = "claim_id string, looked_up_at timestamp, lookup_id string, partner string, channel string"
@@ -85,3 +85,22 @@ def test_the_facts_are_shuffled_once_for_their_keys(frame, resolve, shuffles):
     assert executed.execute().count() == 50
     made = r"ShuffleQueryStage \d+\n[ :+-]*Exchange hashpartitioning\(id#\d+L, 7\), REPARTITION_BY_NUM"
     assert len(re.findall(made, executed.toString())) == shuffles
+
+
+def test_lookup_facts_and_judged_reversals_are_shuffled_into_the_parts_only(spark, tables):
+    """What joins lookups or reversals to the claims takes the parts of the claims, not the number of the session."""
+    claims, reverts, _, lookups, terms = tables
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        staged = staging.claims(claims, 7).where("dq_reject_reason IS NULL").withColumn("chain", F.lit("x"))
+        reversed_ = staging.reverts(reverts, 7)
+        clean = reversed_.where("dq_reject_reason IS NULL")
+        outcome = facts.claim_outcome(staged, economics.attribution(lookups, 7), terms, economics.first_reverts(clean, 7))
+        looked = lookups.withColumns({"ndc": F.lit("n"), "lookup_date": F.lit(None), "partner_was_missing": F.lit(False), "_source_file": F.lit("f")})
+        found = [facts.lookup_fact(looked, outcome), scope.judge_reverts(reversed_, staged)]
+        plans = [f._jdf.queryExecution().executedPlan().toString() for f in found]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    for plan in plans:
+        assert set(re.findall(r"hashpartitioning\((?:claim|revert)_id#\d+, (\d+)\)", plan)) == {"7"}
