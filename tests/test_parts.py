@@ -104,3 +104,49 @@ def test_lookup_facts_and_judged_reversals_are_shuffled_into_the_parts_only(spar
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     for plan in plans:
         assert set(re.findall(r"hashpartitioning\((?:claim|revert)_id#\d+, (\d+)\)", plan)) == {"7"}
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def planned(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("resolve", [temporal.asof_left_join, temporal.interval_left_join])
+def test_price_histories_are_shuffled_once(tables, no_broadcast, resolve):
+    """By item, for their own duplicates and for the as-of join; the other shuffle by item alone is that of the probes."""
+    plan = planned(fact(tables, 7, resolve))
+    assert "unit_cost_usd" in plan
+    assert not re.findall(r"hashpartitioning\(ndc#\d+, effective_date#\d+, 7\)", plan)
+    assert len(re.findall(r"Exchange hashpartitioning\(ndc#\d+, 7\)", plan)) == (2 if resolve is temporal.asof_left_join else 1)
+
+
+def test_filter_by_keys_asks_nothing_more_of_the_rows(spark):
+    """So that the shuffle of a history is the same for a reader without the filter, and is made once."""
+    history = spark.range(50).selectExpr("cast(id % 7 as string) k", "id v").repartition(3, "k")
+    found = joins.maybe_among(history, spark.range(3).selectExpr("cast(id as string) k"), "k")
+    assert {r.k for r in found.collect()} >= {"0", "1", "2"}
+    assert "isnotnull(pmod" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_wide_rows_are_not_sorted_for_their_repeats(tables, no_broadcast):
+    plan = planned(staging.claims(tables[0], 7))
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_claims_that_are_not_judged_tell_which_versions_are_left_out(tables, no_broadcast):
+    claims, _, prices, *_ = tables
+    staged, prices = staging.claims(claims, 7).where("dq_reject_reason IS NULL"), staging.price_history(prices, 7)
+    seen = staging.typed_claims(claims)
+    found = economics.with_cost(staged, prices, temporal.interval_left_join, 7, seen=seen)
+    plain = economics.with_cost(staged, prices, temporal.interval_left_join)
+    assert rows(found) and rows(found) == rows(plain)
+    wide, narrow = (len(re.findall(r"Exchange hashpartitioning\(claim_id#\d+, 7\)", planned(f))) for f in (
+        economics.with_cost(staged, prices, temporal.interval_left_join, 7), found))
+    assert narrow < wide
